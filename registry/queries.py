@@ -19,7 +19,7 @@ from txnlens.operators.geolocation import add_ip_integer, attach_country, match_
 from txnlens.operators.temporal import add_purchase_clock, add_time_since_signup
 from txnlens.operators.velocity import add_velocity
 from txnlens.plans import modeling, preparation
-from txnlens.session import scratch_path
+from txnlens.session import materialize, scratch_path
 from txnlens.sources import readers, standins
 from txnlens.sources.writers import write_table
 
@@ -643,7 +643,7 @@ _SMALL_SEARCHES = {
 
 
 def _prepared(spark: SparkSession, folder: str) -> modeling.PreparedData:
-    return modeling.prepare(_engineered(spark, folder))
+    return modeling.prepare(materialize(_engineered(spark, folder), "engineered"))
 
 
 def _forest(spark: SparkSession, folder: str) -> tuple[training.TrainedModel, modeling.PreparedData]:
@@ -657,7 +657,7 @@ def _forest(spark: SparkSession, folder: str) -> tuple[training.TrainedModel, mo
 def train_compare(spark: SparkSession, folder: str) -> DataFrame:
     """Three model families on the oversampled train rows, compared on the whole holdout."""
     data = modeling.resample_train(_prepared(spark, folder))
-    train = data.train_resampled.cache()
+    train = data.train_resampled
     forest = RandomForestClassifier(numTrees=20, maxDepth=6, seed=42, featuresCol="features", labelCol="class")
     boosted = GBTClassifier(maxIter=10, maxDepth=4, stepSize=0.1, seed=42, featuresCol="features", labelCol="class")
     fits = [training.train_model(name, train, data.prepared.test, key="event_id", estimator=estimator)

@@ -14,7 +14,7 @@ from txnlens.operators.encoding import FeatureConfig, FittedEncoder, fit_encoder
 from txnlens.operators.importance import by_importance, feature_importance
 from txnlens.operators.profiling import compare_stages
 from txnlens.operators.ranking import best_model_summary
-from txnlens.operators.sampling import stratified_split
+from txnlens.operators.sampling import with_split
 from txnlens.operators.smote import resample
 from txnlens.operators.training import (
     MODEL_NAMES, TrainedModel, as_arrays, as_vectors, compare_trained, pick_best, train_model)
@@ -62,19 +62,23 @@ class AttributionResult:
 
 def prepare(engineered: DataFrame, *, key: str = "event_id", config: FeatureConfig = FeatureConfig(),
             test_size: float = 0.2, seed: int = 42, fit_on: str = "train") -> PreparedData:
-    """Split first, then fit the encoder on the train rows (``fit_on="all"``: on every row)."""
-    train, test = stratified_split(engineered, key=key, label=config.target, test_size=test_size, seed=seed)
-    encoder = fit_encoder(train if fit_on == "train" else engineered, config)
+    """Split first, then fit the encoder on the train rows (``fit_on="all"``: on every row).
 
-    def encoded(df: DataFrame) -> DataFrame:
-        return as_arrays(encoder.vectors(df, keep=[key])).withColumnRenamed(config.target, "class")
-
-    return PreparedData(encoded(train), encoded(test), encoder, key)
+    The encoded rows are written once to the shared folder, since every later fit reads them
+    many times.
+    """
+    tagged = with_split(engineered, key=key, label=config.target, test_size=test_size, seed=seed)
+    train_rows = tagged.where(F.col("split") == "train")
+    encoder = fit_encoder(train_rows if fit_on == "train" else engineered, config)
+    encoded = as_arrays(encoder.vectors(tagged, keep=[key, "split"])).withColumnRenamed(config.target, "class")
+    saved = materialize(encoded, "encoded", partition_by=["split"])
+    train, test = (saved.where(F.col("split") == part).drop("split") for part in ("train", "test"))
+    return PreparedData(train, test, encoder, key)
 
 
 def resample_train(prepared: PreparedData, *, strategy: str = "smote", seed: int = 42) -> ResampledData:
     """Resample the train rows only; the holdout keeps its natural balance."""
-    resampled = resample(prepared.train, strategy, key=prepared.key, seed=seed)
+    resampled = materialize(resample(prepared.train, strategy, key=prepared.key, seed=seed), "resampled")
     balance = compare_stages({"train_before_resampling": prepared.train, "train_after_resampling": resampled,
                               "test_holdout_unmodified": prepared.test})
     return ResampledData(prepared, resampled, balance)
@@ -83,14 +87,9 @@ def resample_train(prepared: PreparedData, *, strategy: str = "smote", seed: int
 def run_modeling(engineered: DataFrame, *, models: Iterable[str] = MODEL_NAMES, key: str = "event_id",
                  test_size: float = 0.2, folds: int = 3, seed: int = 42, strategy: str = "smote",
                  searches: dict | None = None, report_folder: str | None = None) -> ModelingResult:
-    """Tune on the original train rows, fit on the resampled ones, score the untouched holdout.
-
-    Encoded rows are written once to the shared folder: every fit below iterates over them.
-    """
+    """Tune on the original train rows, fit on the resampled ones, score the untouched holdout."""
     split = prepare(engineered, key=key, test_size=test_size, seed=seed)
-    split = PreparedData(materialize(split.train, "train"), materialize(split.test, "test"), split.encoder, key)
     data = resample_train(split, strategy=strategy, seed=seed)
-    data = ResampledData(split, materialize(data.train_resampled, "resampled"), data.balance)
     tuned, trained = [], []
     for name in models:
         found = tune_model(name, split.train, key=key, folds=folds, seed=seed, search=(searches or {}).get(name))

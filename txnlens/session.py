@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,11 +49,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/txnlens/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+def materialize(df: DataFrame, label: str = "step", *, partition_by: Sequence[str] = ()) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back.
 
     The files outlive the executors that wrote them, unlike cached blocks.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
