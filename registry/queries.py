@@ -451,7 +451,7 @@ def engineered_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _long_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    engineered = _engineered(spark, folder)
+    engineered = materialize(_engineered(spark, folder), "engineered")
     return encoding.fit_encoder(engineered).long(engineered, keep=["event_id"])
 
 

@@ -29,12 +29,16 @@ def test_clock_is_independent_of_the_session_zone(spark):
     try:
         df = spark.sql("SELECT timestamp_ntz'2024-03-10 01:30:00' AS signup_time, "
                        "timestamp_ntz'2024-03-10 03:30:00' AS purchase_time")
+        # 02:30 does not exist on a New York clock that day.
+        gap = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00.000001' AS t, timestamp_ntz'1969-12-31 23:59:59.5' AS u")
+        micros = tuple(gap.select(clock.epoch_micros(F.col("t")), clock.epoch_micros(F.col("u"))).first())
         row = add_purchase_clock(add_time_since_signup(df)).first()
         parsed = spark.range(1).select(clock.parse_time(F.lit("2024-03-10 02:30:05"))).first()[0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert (row["time_since_signup_hours"], row["hour_of_day"], row["day_of_week"]) == (2.0, 3, 6)
     assert parsed == dt.datetime(2024, 3, 10, 2, 30, 5)
+    assert micros == (1_710_037_800_000_001, -500_000)
 
 
 def test_parse_time_rejects_other_formats(spark):

@@ -1,7 +1,8 @@
 """Time arithmetic on zone-free timestamps.
 
-``timestampdiff`` on two TIMESTAMP_NTZ values never passes through the session time
-zone, so results do not shift around daylight-saving changes.
+Moments become microseconds through their calendar fields. Casting to a zoned timestamp (as
+``unix_micros`` and ``timestampdiff`` do) would bend values around daylight-saving changes of
+the session's time zone.
 """
 
 from __future__ import annotations
@@ -16,12 +17,17 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _TIME_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
-def micros_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start.cast("timestamp_ntz"), end.cast("timestamp_ntz"))
+def epoch_micros(moment: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00:00 on the clock of the value itself."""
+    local = moment.cast("timestamp_ntz")
+    days = F.datediff(local.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    minutes = (days * 24 + F.hour(local)) * 60 + F.minute(local)
+    second_micros = (F.date_part(F.lit("SECOND"), local) * F.lit(1_000_000)).cast("long")
+    return minutes * 60_000_000 + second_micros
 
 
-def epoch_micros(moment: Column) -> Column:
-    return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), moment)
+def micros_between(start: Column, end: Column) -> Column:
+    return epoch_micros(end) - epoch_micros(start)
 
 
 def hours_between(start: Column, end: Column) -> Column:

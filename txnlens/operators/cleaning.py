@@ -35,9 +35,8 @@ def fill_values(df: DataFrame, *, numeric_fill: str = "median", string_fill: str
     candidates = numeric_columns(df, exclude=exclude) + string_columns(df, exclude=exclude)
     if not candidates:
         return {}
-    # A flag per column, not a count: max over booleans is all that is needed.
-    flags = df.agg(*[F.max(is_missing(df, c)).alias(c) for c in candidates]).first()
-    gaps = [c for c in candidates if flags[c]]
+    seen = df.agg(F.count("*").alias("_rows"), *[F.count_if(is_missing(df, c)).alias(c) for c in candidates]).first()
+    gaps = [c for c in candidates if seen[c]]
     numbers = [c for c in numeric_columns(df) if c in gaps]
     texts = [c for c in string_columns(df) if c in gaps]
     fills: dict[str, float | str] = {}
@@ -47,7 +46,8 @@ def fill_values(df: DataFrame, *, numeric_fill: str = "median", string_fill: str
         means = df.agg(*[F.avg(F.when(~is_missing(df, c), F.col(c).cast("double"))).alias(c) for c in numbers]).first()
         fills.update({c: means[c] for c in numbers})
     elif numbers:
-        fills.update({c: v[0] for c, v in quantile_values(df, numbers, [0.5], approx=approx).items()})
+        fills.update({c: v[0] for c, v in quantile_values(
+            df, numbers, [0.5], approx=approx, rows=seen["_rows"]).items()})
     if string_fill == "mode" and texts:
         tops = {r["column"]: r["top"] for r in most_common(df, texts).collect()}
         fills.update({c: tops.get(c) or "unknown" for c in texts})

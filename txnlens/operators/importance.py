@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlens.functions.labels import direction, feature_category, feature_text
+from txnlens.operators.columns import stack_rows
 
 IMPORTANCE_SCHEMA = "feature string, importance double, coefficient double"
 
@@ -70,7 +71,7 @@ def insight_facts(comparison: DataFrame, importance: DataFrame, *, baseline: str
         F.count_if(feature.startswith("source_")).alias("source_features"),
         F.count_if(feature.startswith("browser_")).alias("browser_features"),
         F.coalesce(F.max(feature == "source_Direct"), F.lit(False)).alias("direct_channel_in_top"))
-    # Both sides are one row.
     total = F.col("true_positives") + F.col("false_positives") + F.col("false_negatives") + F.col("true_negatives")
-    return models.withColumn("_one", F.lit(1)).join(features.withColumn("_one", F.lit(1)), "_one").drop("_one").withColumn(
-        "holdout_rows", total)
+    # Two one-row tables become one by stacking, which needs no join.
+    both = stack_rows([models, features])
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("holdout_rows", total)

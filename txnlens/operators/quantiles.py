@@ -24,14 +24,15 @@ _SKETCH_ACCURACY = 20_000
 
 def quantile_frame(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], *,
                    by: str | None = None, approx: int | None = None,
-                   exact_rows: int = EXACT_ROWS) -> DataFrame:
+                   exact_rows: int = EXACT_ROWS, rows: int | None = None) -> DataFrame:
     """Long table ([``by``], ``column``, ``p``, ``value``). ``by`` must have few groups.
 
-    ``approx`` is the accuracy of ``percentile_approx`` and skips exactness.
+    ``approx`` is the accuracy of ``percentile_approx`` and skips exactness. ``rows`` saves
+    the counting pass when the caller knows the size.
     """
     require_columns(df, [*columns, *([by] if by else [])])
     data = df.select(*([F.col(by)] if by else []), *[present(df, c).cast("double").alias(c) for c in columns])
-    if approx is None and data.count() > exact_rows:
+    if approx is None and (data.count() if rows is None else rows) > exact_rows:
         return _refined(data, list(columns), list(probabilities), by, exact_rows)
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
     if approx is None:

@@ -77,29 +77,26 @@ def ranking_metrics(df: DataFrame, **columns) -> DataFrame:
 
 def pr_curve(df: DataFrame, **columns) -> DataFrame:
     """Precision and recall at every distinct score, plus the closing point (1, 0)."""
-    steps = score_steps(df, **columns)
-    points = steps.select("model_name", F.col("score").alias("threshold"),
-                          ratio(F.col("tp"), F.col("flagged")).alias("precision"),
-                          ratio(F.col("tp"), F.col("total_positives")).alias("recall"))
-    return points.unionByName(_end_points(df, columns, precision=1.0, recall=0.0))
+    return _curve(df, columns, {
+        "precision": (ratio(F.col("tp"), F.col("flagged")), 1.0),
+        "recall": (ratio(F.col("tp"), F.col("total_positives")), 0.0)})
 
 
 def roc_curve(df: DataFrame, **columns) -> DataFrame:
     """False and true positive rates at every distinct score, plus the opening point (0, 0)."""
-    steps = score_steps(df, **columns)
     false_positives = F.col("flagged") - F.col("tp")
     negatives = F.col("total_rows") - F.col("total_positives")
-    points = steps.select("model_name", F.col("score").alias("threshold"),
-                          ratio(false_positives, negatives).alias("fpr"),
-                          ratio(F.col("tp"), F.col("total_positives")).alias("tpr"))
-    return points.unionByName(_end_points(df, columns, fpr=0.0, tpr=0.0))
+    return _curve(df, columns, {
+        "fpr": (ratio(false_positives, negatives), 0.0),
+        "tpr": (ratio(F.col("tp"), F.col("total_positives")), 0.0)})
 
 
-def _end_points(df: DataFrame, columns: dict, **values: float) -> DataFrame:
-    model = columns.get("model", "model_name")
-    return df.select(F.col(model).alias("model_name")).distinct().select(
-        "model_name", F.lit(None).cast("double").alias("threshold"),
-        *[F.lit(v).alias(n) for n, v in values.items()])
+def _curve(df: DataFrame, columns: dict, values: dict) -> DataFrame:
+    """Points of a curve; the row of a model's lowest score also brings the extra end point."""
+    point = F.struct(F.col("score").alias("threshold"), *[value.alias(n) for n, (value, _) in values.items()])
+    end = F.struct(F.lit(None).cast("double").alias("threshold"), *[F.lit(at_end).alias(n) for n, (_, at_end) in values.items()])
+    points = F.when(F.col("flagged") == F.col("total_rows"), F.array(point, end)).otherwise(F.array(point))
+    return score_steps(df, **columns).select("model_name", F.inline(points))
 
 
 def no_skill_baseline(df: DataFrame, *, label: str = "y", model: str = "model_name") -> DataFrame:

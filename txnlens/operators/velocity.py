@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from txnlens.functions.checks import require_columns
 from txnlens.functions.clock import MICROS_PER_HOUR, epoch_micros
+from txnlens.session import materialize
 
 DEFAULT_WINDOWS_HOURS = (1, 24, 168)
 # Users active for less than an hour count as active for one hour.
@@ -42,9 +43,10 @@ def add_velocity(df: DataFrame, *, user_column: str = "user_id", time_column: st
         # At most rows / hot_rows users can be this large, which bounds the broadcast below.
         hot_users = df.groupBy(user_column).count().where(F.col("count") > hot_rows).select(user_column)
         if not hot_users.isEmpty():
-            hot_users = F.broadcast(hot_users)
+            # Written once: the chunked way reads the hot rows several times.
+            hot_users = F.broadcast(materialize(hot_users, "hot-users"))
             cold = timed.join(hot_users, user_column, "left_anti")
-            hot = timed.join(hot_users, user_column, "left_semi")
+            hot = materialize(timed.join(hot_users, user_column, "left_semi"), "hot-rows")
             plain = _by_user_window(cold, user_column, order_key, windows).unionByName(
                 _by_chunks(hot, user_column, order_key, windows, chunk_seconds * 1_000_000))
     rate = _daily_rate(F.col("_index"), F.col("_first"), F.col("_at") if as_of_row else F.col("_last"))

@@ -12,6 +12,7 @@ from txnlens.operators.geolocation import LOWER, UPPER, add_ip_integer, attach_c
 from txnlens.operators.segments import rate_by
 from txnlens.operators.temporal import add_purchase_clock, add_time_since_signup
 from txnlens.operators.velocity import add_velocity
+from txnlens.session import materialize
 from txnlens.sources import readers
 from txnlens.sources.writers import write_table
 
@@ -24,10 +25,12 @@ def clean_transactions(raw: DataFrame, *, fill_identifiers: bool = False, approx
     """Names, times, whole-row duplicates, missing values, types.
 
     Identifiers keep their gaps unless ``fill_identifiers``. Ages filled with a fractional
-    median are cut to whole years by the final types.
+    median are cut to whole years by the final types. The deduplicated rows are written to the
+    shared folder: finding the fill values then scans single columns instead of repeating the
+    whole-row shuffle.
     """
     table = parse_timestamps(snake_columns(raw), TIMES)
-    table = drop_duplicates(table)
+    table = materialize(drop_duplicates(table), "deduplicated")
     table = fill_missing(table, required=[*TIMES, "class"], numeric_fill="median", string_fill="unknown",
                          exclude=() if fill_identifiers else IDENTIFIERS, approx=approx)
     return coerce_transactions(table)
@@ -35,7 +38,7 @@ def clean_transactions(raw: DataFrame, *, fill_identifiers: bool = False, approx
 
 def clean_cards(raw: DataFrame, *, approx: int | None = None) -> DataFrame:
     """Names, whole-row duplicates, median and mode fills, types."""
-    table = drop_duplicates(snake_columns(raw))
+    table = materialize(drop_duplicates(snake_columns(raw)), "deduplicated")
     return coerce_cards(fill_missing(table, numeric_fill="median", string_fill="mode", approx=approx))
 
 
