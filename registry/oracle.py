@@ -438,6 +438,9 @@ SELECT l.class, l."column", round(q1, 6) AS q1, round(med, 6) AS median, round(q
        round(max(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 6) AS whisker_high,
        count(v) AS count
 FROM long l JOIN q ON l.class = q.class AND l."column" = q."column" GROUP BY l.class, l."column", q1, med, q3""")
+    sql["quantiles_refined"] = " UNION ALL ".join(
+        f"""SELECT l_returnflag, '{c}' AS "column", cast({p} AS double) AS p, round(quantile_cont({c}, {p}), 4) AS value
+FROM lineitem GROUP BY l_returnflag""" for c in ("l_quantity", "l_extendedprice") for p in (0.05, 0.5, 0.95))
     sql["kpis"] = with_views(TXN, """
 SELECT count(*) AS transactions, cast(sum(class) AS bigint) AS fraud_cases, round(avg(class), 6) AS fraud_rate FROM txn""")
     sql["dataset_kpis"] = with_views(TXN, """
@@ -553,6 +556,13 @@ FROM (SELECT i, base, neighbor, share, unnest(generate_series(0, len(v) - 1)) AS
 counted AS (
   SELECT 'train_before_resampling' AS stage, class, train_n AS count FROM want UNION ALL
   SELECT 'train_after_resampling', class, (SELECT max(train_n) FROM want) FROM want UNION ALL
+  SELECT 'test_holdout_unmodified', class, n - train_n FROM want)""", balance.format(stage="stage,", part="PARTITION BY stage"))
+    sql["smote_neighbors_blocked"] = with_views(
+        VECTORS.replace("WHERE class = 1", ""), "SELECT vec_id, rank, neighbor, distance FROM near")
+    sql["undersample_balance"] = with_views("lab AS (SELECT doc_id, toxic AS class FROM labels)," + split_counts("lab") + """,
+counted AS (
+  SELECT 'train_before_resampling' AS stage, class, train_n AS count FROM want UNION ALL
+  SELECT 'train_after_resampling', class, (SELECT min(train_n) FROM want) FROM want UNION ALL
   SELECT 'test_holdout_unmodified', class, n - train_n FROM want)""", balance.format(stage="stage,", part="PARTITION BY stage"))
     # Attribution.
     sql["linear_shap"] = with_views(LINEAR, "SELECT vec_id, feature, round(phi, 6) AS phi FROM phi")

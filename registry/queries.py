@@ -16,6 +16,7 @@ from txnlens.functions.clock import epoch_micros
 from txnlens.operators import attribution, cleaning, columns, encoding, importance, profiling, ranking, sampling
 from txnlens.operators import segments, smote, training, tuning
 from txnlens.operators.geolocation import add_ip_integer, attach_country, match_quality
+from txnlens.operators.quantiles import quantile_frame
 from txnlens.operators.temporal import add_purchase_clock, add_time_since_signup
 from txnlens.operators.velocity import add_velocity
 from txnlens.plans import modeling, preparation
@@ -395,6 +396,15 @@ def box_stats(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(table, 6, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
+@query
+def quantiles_refined(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact quantiles of all line items by bracketing, as for tables beyond one buffer."""
+    lines = standins.given(spark, folder, "lineitem")
+    table = quantile_frame(lines, ["l_quantity", "l_extendedprice"], [0.05, 0.5, 0.95], by="l_returnflag",
+                           exact_rows=1000)
+    return rounded(table, 4, "value")
+
+
 @query
 def kpis(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(segments.kpis(standins.transactions(spark, folder)), 6, "fraud_rate")
@@ -572,6 +582,22 @@ def smote_balance(spark: SparkSession, folder: str) -> DataFrame:
                                      "test_holdout_unmodified": test})
 
 
+@query
+def smote_neighbors_blocked(spark: SparkSession, folder: str) -> DataFrame:
+    """Neighbors among all embeddings, compared block by block."""
+    return smote.nearest_neighbors(standins.vectors(spark, folder), key="vec_id", block_rows=256)
+
+
+@query
+def undersample_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """The rare toxic label: stratified split, train rows thinned, holdout untouched."""
+    labels = standins.given(spark, folder, "labels").select("doc_id", F.col("toxic").alias("class"))
+    train, test = sampling.stratified_split(labels, key="doc_id")
+    thinned = sampling.undersample(train, key="doc_id")
+    return profiling.compare_stages({"train_before_resampling": train, "train_after_resampling": thinned,
+                                     "test_holdout_unmodified": test})
+
+
 # Attribution -----------------------------------------------------------------------------
 
 _VECTOR_NAMES = [f"f{j}" for j in range(64)]

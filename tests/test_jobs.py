@@ -77,6 +77,12 @@ def test_feature_job(spark, raw_folder, tmp_path):
     assert features.count() == 300 and "country_China" in features.columns and "class" in features.columns
 
 
+def test_cleaning_job(spark, raw_folder, tmp_path):
+    paths = preparation.cleaning_job(spark, raw_folder, str(tmp_path))
+    counts = {n: readers.read_table(spark, p).count() for n, p in paths.items()}
+    assert counts == {"fraud_data_cleaned": 300, "creditcard_cleaned": 1, "ip_country_cleaned": 2}
+
+
 def test_country_is_left_out_without_ranges(spark, raw_folder, tmp_path):
     (tmp_path / readers.TRANSACTIONS_FILE).write_text(open(f"{raw_folder}/{readers.TRANSACTIONS_FILE}").read())
     assert "country" not in preparation.load_base(spark, str(tmp_path)).columns
@@ -126,6 +132,16 @@ def test_modeling_job(spark, raw_folder, tmp_path):
     assert {n: t.count() for n, t in tables.items() if n != "top_features_best_model"} == {
         "model_comparison_metrics": 2, "best_model_summary": 1, "class_imbalance_comparison": 6, "tuning_summary": 2}
     assert tables["top_features_best_model"].count() <= 20
+    found = modeling.attribution_job(engineered, f"{tmp_path}/shap", result=result, background_rows=30, explained_rows=20)
+    saved = readers.read_table(spark, f"{tmp_path}/shap/shap_top_features")
+    assert saved.count() == found.top_features.count() == 10
+
+
+def test_resampling_job(spark, raw_folder, tmp_path):
+    engineered = preparation.engineer(preparation.load_base(spark, raw_folder, include_country=False), order_key="user_id")
+    data = modeling.resampling_job(engineered, str(tmp_path), strategy="undersample", key="user_id")
+    assert data.train_resampled.count() == 80
+    assert readers.read_table(spark, f"{tmp_path}/class_imbalance_comparison").count() == 6
 
 
 def test_standins_have_their_traps(spark, small_folder):

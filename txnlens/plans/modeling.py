@@ -20,7 +20,7 @@ from txnlens.operators.training import (
     MODEL_NAMES, TrainedModel, as_arrays, as_vectors, compare_trained, pick_best, train_model)
 from txnlens.operators.tuning import TunedModel, tune_model, tuning_summary
 from txnlens.session import materialize
-from txnlens.sources.writers import write_all, write_top_features
+from txnlens.sources.writers import write_all, write_table, write_top_features
 
 
 @dataclass(frozen=True)
@@ -84,6 +84,14 @@ def resample_train(prepared: PreparedData, *, strategy: str = "smote", seed: int
     return ResampledData(prepared, resampled, balance)
 
 
+def resampling_job(engineered: DataFrame, folder: str, *, strategy: str = "smote", key: str = "event_id",
+                   seed: int = 42, format: str = "parquet") -> ResampledData:
+    """Split, encode, resample and write the class balance of every stage."""
+    data = resample_train(prepare(engineered, key=key, seed=seed), strategy=strategy, seed=seed)
+    write_table(data.balance, folder, "class_imbalance_comparison", format=format)
+    return data
+
+
 def run_modeling(engineered: DataFrame, *, models: Iterable[str] = MODEL_NAMES, key: str = "event_id",
                  test_size: float = 0.2, folds: int = 3, seed: int = 42, strategy: str = "smote",
                  searches: dict | None = None, report_folder: str | None = None) -> ModelingResult:
@@ -133,6 +141,17 @@ def explain(trained: TrainedModel, prepared: PreparedData, *, background_rows: i
         at.dependence(values, rows, names, top.first()["feature"], key=key), rows, base)
 
 
+def attribution_job(engineered: DataFrame, folder: str, *, result: ModelingResult | None = None, key: str = "event_id",
+                    format: str = "parquet", **options) -> AttributionResult:
+    """Explain the best model (trained here when no result is given) and write the tables."""
+    if result is None:
+        result = run_modeling(engineered, key=key)
+    found = explain(result.best, result.data.prepared, **options)
+    write_all({"shap_top_features": found.top_features, "shap_waterfall": found.waterfall,
+               "shap_dependence": found.dependence}, folder, format=format)
+    return found
+
+
 def attribute(model, rows: DataFrame, background: DataFrame, names: Sequence[str], *, key: str,
               permutations: int = 20, seed: int = 42) -> tuple[DataFrame, float | None]:
     """(attributions, expected score) by the method that fits the model."""

@@ -14,7 +14,7 @@ from txnlens.operators.temporal import add_purchase_clock, add_time_since_signup
 from txnlens.operators.velocity import add_velocity
 from txnlens.session import materialize
 from txnlens.sources import readers
-from txnlens.sources.writers import write_table
+from txnlens.sources.writers import write_all, write_table
 
 # Identifiers and addresses: a median of these means nothing.
 IDENTIFIERS = ("user_id", "event_id", "ip_address")
@@ -48,6 +48,15 @@ def clean_ip_ranges(raw: DataFrame) -> DataFrame:
     return coerce_ip_ranges(fill_missing(table, required=[LOWER, UPPER, "country"], string_fill="unknown"))
 
 
+def cleaning_job(spark: SparkSession, raw_folder: str, output_folder: str, *, format: str = "parquet") -> dict[str, str]:
+    """Write the three cleaned tables."""
+    return write_all({
+        "fraud_data_cleaned": clean_transactions(readers.read_transactions(spark, raw_folder)),
+        "creditcard_cleaned": clean_cards(readers.read_cards(spark, raw_folder)),
+        "ip_country_cleaned": clean_ip_ranges(readers.read_ip_ranges(spark, raw_folder)),
+    }, output_folder, format=format)
+
+
 def geolocate(transactions: DataFrame, ip_ranges: DataFrame, **lookup) -> DataFrame:
     """Cleaned transactions with ``ip_address_int`` and ``country``."""
     return add_ip_integer(transactions).transform(attach_country, ip_ranges, **lookup)
