@@ -449,7 +449,7 @@ def class_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _engineered(spark: SparkSession, folder: str) -> DataFrame:
-    return preparation.engineer(_geolocated(spark, folder))
+    return preparation.engineer(_geolocated(spark, folder), count_users_in=standins.given(spark, folder, "events"))
 
 
 @query

@@ -85,9 +85,10 @@ class FittedEncoder:
     def long(self, df: DataFrame, *, keep: Sequence[str]) -> DataFrame:
         """(``keep``, ``feature``, ``value``) rows."""
         require_columns(df, [*self.scales, *self.categories, *keep])
-        cells = F.array(*[F.struct(F.lit(n).alias("feature"), c.alias("value"))
-                          for n, c in zip(self.names, self.columns(), strict=True)])
-        return df.select(*keep, F.inline(cells))
+        # An array of plain numbers keeps the generated code small; names join by position.
+        cells = df.select(*keep, F.posexplode(F.array(*self.columns())).alias("_position", "value"))
+        names = F.array(*[F.lit(n) for n in self.names])
+        return cells.select(*keep, F.get(names, F.col("_position")).alias("feature"), "value")
 
     def feature_table(self, df: DataFrame) -> DataFrame:
         """Feature names with their position in the matrix."""

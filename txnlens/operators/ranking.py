@@ -8,7 +8,7 @@ its starting count, and a window inside each bucket adds the rest. No task sees
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,6 +16,7 @@ from txnlens.functions.checks import require_columns
 from txnlens.functions.numbers import ratio, ratio_or_zero
 
 SCORE_BUCKETS = 256
+CONFUSION = ("true_positives", "false_positives", "false_negatives", "true_negatives")
 
 
 def score_steps(df: DataFrame, *, label: str = "y", score: str = "score", model: str = "model_name",
@@ -65,14 +66,18 @@ def score_steps(df: DataFrame, *, label: str = "y", score: str = "score", model:
 
 def ranking_metrics(df: DataFrame, **columns) -> DataFrame:
     """``roc_auc`` (ties by trapezoid) and ``pr_auc`` (average precision, step sum) per model."""
+    return score_steps(df, **columns).groupBy("model_name").agg(*_areas())
+
+
+def _areas() -> list[Column]:
+    """Aggregates over score steps."""
     negatives = F.col("rows") - F.col("positives")
     total_negatives = F.max(F.col("total_rows") - F.col("total_positives"))
     total_positives = F.max("total_positives")
     area = F.sum(negatives.cast("double") * (F.col("tp") - F.col("positives") / F.lit(2.0)))
     gain = F.sum(F.col("positives").cast("double") * F.col("tp") / F.col("flagged"))
-    return score_steps(df, **columns).groupBy("model_name").agg(
-        ratio(area, total_positives * total_negatives).alias("roc_auc"),
-        ratio(gain, total_positives).alias("pr_auc"))
+    return [ratio(area, total_positives * total_negatives).alias("roc_auc"),
+            ratio(gain, total_positives).alias("pr_auc")]
 
 
 def pr_curve(df: DataFrame, **columns) -> DataFrame:
@@ -121,13 +126,14 @@ def threshold_metrics(df: DataFrame, *, label: str = "y", prediction: str = "pre
         F.count_if((y == 0) & (p == 1)).alias("false_positives"),
         F.count_if((y == 1) & (p == 0)).alias("false_negatives"),
         F.count_if((y == 0) & (p == 0)).alias("true_negatives"))
-    tp, fp, fn, tn = (F.col(c) for c in (
-        "true_positives", "false_positives", "false_negatives", "true_negatives"))
-    return counts.select(
-        "model_name", ratio_or_zero(tp + tn, tp + tn + fp + fn).alias("accuracy"),
-        ratio_or_zero(tp, tp + fp).alias("precision"), ratio_or_zero(tp, tp + fn).alias("recall"),
-        ratio_or_zero(tp * 2, tp * 2 + fp + fn).alias("f1"),
-        "true_positives", "false_positives", "false_negatives", "true_negatives")
+    return counts.select("model_name", *_rates(), *CONFUSION)
+
+
+def _rates() -> list[Column]:
+    tp, fp, fn, tn = (F.col(c) for c in CONFUSION)
+    return [ratio_or_zero(tp + tn, tp + tn + fp + fn).alias("accuracy"),
+            ratio_or_zero(tp, tp + fp).alias("precision"), ratio_or_zero(tp, tp + fn).alias("recall"),
+            ratio_or_zero(tp * 2, tp * 2 + fp + fn).alias("f1")]
 
 
 def confusion_table(df: DataFrame, *, label: str = "y", prediction: str = "prediction",
@@ -146,13 +152,24 @@ def confusion_table(df: DataFrame, *, label: str = "y", prediction: str = "predi
 def compare_models(df: DataFrame, *, label: str = "y", score: str = "score", model: str = "model_name",
                    prediction: str | None = None, threshold: float = 0.5,
                    sort_by: str = "pr_auc", ascending: bool = False) -> DataFrame:
-    """All metrics, one row per model, best first. ``auc_pr`` may be used for ``pr_auc``."""
-    predicted = df if prediction else predict_at(df, score=score, threshold=threshold)
-    at_threshold = threshold_metrics(predicted, label=label, prediction=prediction or "prediction", model=model)
-    ranked = ranking_metrics(df, label=label, score=score, model=model)
+    """All metrics, one row per model, best first. ``auc_pr`` may be used for ``pr_auc``.
+
+    Without a ``prediction`` column the confusion counts at ``threshold`` come from the score
+    steps as well, so one aggregation gives every metric.
+    """
+    if prediction is None:
+        above = F.col("score") > F.lit(threshold)
+        positives, negatives = F.col("positives"), F.col("rows") - F.col("positives")
+        table = score_steps(df, label=label, score=score, model=model).groupBy("model_name").agg(
+            *[F.sum(F.when(side, n).otherwise(0)).alias(name) for name, side, n in zip(
+                CONFUSION, (above, above, ~above, ~above), (positives, negatives, positives, negatives), strict=True)],
+            *_areas()).select("model_name", *_rates(), *CONFUSION, "roc_auc", "pr_auc")
+    else:
+        at_threshold = threshold_metrics(df, label=label, prediction=prediction, model=model)
+        table = at_threshold.join(
+            ranking_metrics(df, label=label, score=score, model=model), "model_name", "left")
     by = F.col("pr_auc" if sort_by == "auc_pr" else sort_by)
-    return at_threshold.join(ranked, "model_name", "left").orderBy(
-        by.asc_nulls_last() if ascending else by.desc_nulls_last(), "model_name")
+    return table.orderBy(by.asc_nulls_last() if ascending else by.desc_nulls_last(), "model_name")
 
 
 def best_model(comparison: DataFrame, *, metric: str = "pr_auc") -> DataFrame:

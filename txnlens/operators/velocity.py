@@ -27,13 +27,14 @@ SHORTEST_ACTIVE_DAYS = 1.0 / 24.0
 def add_velocity(df: DataFrame, *, user_column: str = "user_id", time_column: str = "purchase_time",
                  order_key: str = "event_id", windows_hours: Iterable[int] = DEFAULT_WINDOWS_HOURS,
                  as_of_row: bool = False, hot_rows: int | None = 20_000_000,
-                 chunk_seconds: int = 60) -> DataFrame:
+                 chunk_seconds: int = 60, count_users_in: DataFrame | None = None) -> DataFrame:
     """Add gap to the previous purchase, running count, daily rate and trailing counts.
 
     ``order_key`` orders purchases of one instant and must be unique per row. The daily rate
     divides by the user's whole active span, which looks ahead; ``as_of_row=True`` divides by
     the span up to the row. Trailing counts include both ends and all ties. ``hot_rows=None``
-    skips the search for hot users (one pass over the user column).
+    skips the search for hot users. The search counts rows per user in ``count_users_in``,
+    by default ``df``: hand over the table from before the joins to keep it a one-column scan.
     """
     require_columns(df, [user_column, time_column, order_key])
     windows = list(windows_hours)
@@ -41,7 +42,8 @@ def add_velocity(df: DataFrame, *, user_column: str = "user_id", time_column: st
     plain = _by_user_window(timed, user_column, order_key, windows)
     if hot_rows is not None:
         # At most rows / hot_rows users can be this large, which bounds the broadcast below.
-        hot_users = df.groupBy(user_column).count().where(F.col("count") > hot_rows).select(user_column)
+        counted = df if count_users_in is None else count_users_in
+        hot_users = counted.groupBy(user_column).count().where(F.col("count") > hot_rows).select(user_column)
         if not hot_users.isEmpty():
             # Written once: the chunked way reads the hot rows several times.
             hot_users = F.broadcast(materialize(hot_users, "hot-users"))

@@ -74,11 +74,16 @@ def geolocation_job(spark: SparkSession, raw_folder: str, output_folder: str, *,
 
 def load_base(spark: SparkSession, raw_folder: str, *, include_country: bool = True) -> DataFrame:
     """Cleaned transactions, with countries when the range table exists."""
-    cleaned = clean_transactions(readers.read_transactions(spark, raw_folder))
+    return with_country(clean_transactions(readers.read_transactions(spark, raw_folder)), raw_folder,
+                        include_country=include_country)
+
+
+def with_country(cleaned: DataFrame, raw_folder: str, *, include_country: bool = True) -> DataFrame:
+    """Countries from the raw range table, or the table as it is when there is none."""
     if not include_country:
         return cleaned
     try:
-        ranges = readers.read_ip_ranges(spark, raw_folder)
+        ranges = readers.read_ip_ranges(cleaned.sparkSession, raw_folder)
     except FileNotFoundError:
         return cleaned
     return geolocate(cleaned, clean_ip_ranges(ranges))
@@ -111,7 +116,9 @@ def feature_matrix(engineered: DataFrame, *, config: FeatureConfig = FeatureConf
 def feature_job(spark: SparkSession, raw_folder: str, output_folder: str, *, include_country: bool = True,
                 order_key: str = "user_id", format: str = "parquet") -> dict[str, str]:
     """Write the engineered table, then the matrix built from the written table."""
-    engineered = engineer(load_base(spark, raw_folder, include_country=include_country), order_key=order_key)
+    cleaned = clean_transactions(readers.read_transactions(spark, raw_folder))
+    engineered = engineer(with_country(cleaned, raw_folder, include_country=include_country), order_key=order_key,
+                          count_users_in=cleaned)
     engineered_path = write_table(engineered, output_folder, "fraud_data_engineered", format=format)
     saved = readers.read_table(spark, engineered_path, format=format, schema=engineered.schema)
     matrix, _ = feature_matrix(saved, keep=())
