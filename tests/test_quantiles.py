@@ -39,6 +39,16 @@ def test_by_class_and_several_columns(spark, exact_rows):
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("n", [201, 997])
+def test_refinement_for_many_sizes(spark, seed, n):
+    values = draw(["lognormal", "mixed", "ties", "uniform"][seed], n, seed)
+    probabilities = [0.003, 0.01, 0.3333, 0.5, 0.9, 0.995]
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = quantile_values(df, ["x"], probabilities, exact_rows=1)["x"]
+    assert got == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12)
+
+
 def test_empty_column(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert quantile_values(df, ["x"], [0.5]) == {"x": [None]}

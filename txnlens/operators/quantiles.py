@@ -20,6 +20,8 @@ from txnlens.functions.checks import present, require_columns
 EXACT_ROWS = 5_000_000
 _GRID = 200
 _SKETCH_ACCURACY = 10_000
+# Brackets are not narrowed below this many rows.
+_FEWEST = 50
 
 
 def quantile_frame(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], *,
@@ -90,21 +92,27 @@ def _refined(data: DataFrame, columns: list[str], probabilities: list[float],
                 for r in rows for i, t in enumerate(targets) if (r["_group"], *t) in ranks}
 
     grid = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
-    while max((s[2] for s in seen.values()), default=0) > exact_rows:
+    few = max(exact_rows, _FEWEST)
+    while max((s[2] for s in seen.values()), default=0) > few:
         sketches = bracketed().groupBy("_group").agg(*[
             F.percentile_approx(F.when(inside(i), F.col(c)), grid, _SKETCH_ACCURACY).alias(f"s{i}")
             for i, (c, _) in enumerate(targets)]).collect()
         for row in sketches:
             for i, target in enumerate(targets):
                 key = (row["_group"], *target)
-                if key not in ranks or seen[key][2] <= exact_rows:
+                if key not in ranks or seen[key][2] <= few:
                     continue
                 below, within, _ = seen[key]
                 place = (ranks[key] - below) / max(within - 1, 1) * _GRID
-                first, last = math.floor(place) - 1, math.ceil(place) + 1
+                # One step covers the sketch's error, the rest two whole rows on either side.
+                margin = 1 + math.ceil(2 * _GRID / within)
+                first, last = math.floor(place) - margin, math.ceil(place) + margin
                 brackets[key] = (row[f"s{i}"][first] if first >= 0 else brackets[key][0],
                                  row[f"s{i}"][last] if last <= _GRID else brackets[key][1])
         seen = survey()
+        lost = [k for k, r in ranks.items() if not seen[k][0] <= r <= sum(seen[k][:2]) - 1]
+        if lost:
+            raise RuntimeError(f"quantile brackets lost their rank: {lost}")
 
     # Equal values collapse here, so each target ranks at most its strictly-inside values plus two.
     cells = F.array(*[
