@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from llm.common import given
+from llm.common import crc_remainder, given
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -25,6 +26,28 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate")
 
 
+@query
+def op2_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    from llm.ctw import score_texts
+
+    return score_texts(given(spark, folder, "documents"), crc_remainder("doc_id", 7) != 2)
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text encoded and decoded; the digests of ids and decoded text, and whether the text came back."""
+    from llm.pieces import decode, encode, lossless
+
+    return lossless(decode(encode(given(spark, folder, "documents"), carry={"doc_id": F.col("doc_id"), "text": F.col("text")})))
+
+
+@query
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from llm.pii import find_personal_data
+
+    return find_personal_data(given(spark, folder, "documents"))
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     from llm.packing import pack_documents
@@ -39,6 +62,37 @@ def op6_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licences(given(spark, folder, "documents"))
 
 
+@query
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from llm.chunks import find_repeats
+
+    return find_repeats(given(spark, folder, "documents"))
+
+
+@query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from llm.langid import fit, identify
+
+    docs = given(spark, folder, "documents")
+    learned = crc_remainder("doc_id", 5) != 0
+    langs, probability = fit(docs.where(learned))
+    return identify(docs, langs, probability, extra={"held_out": ~learned}).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op9_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    from llm.topk import top_k
+
+    return top_k(given(spark, folder, "embeddings"), F.coalesce(F.col("vec_id") % 20 == 0, F.lit(False)))
+
+
+@query
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    from llm.simhash import near_duplicates
+
+    return near_duplicates(given(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
