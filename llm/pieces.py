@@ -99,14 +99,14 @@ def lattice_ids(units: DataFrame, spark: SparkSession, path: str | None, keep: s
 
 
 def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: dict[str, Column] | None = None, path: str | None = None,
-           block_bytes: int = 4 * blocks.BLOCK_BYTES) -> DataFrame:
+           block_bytes: int = 2 * blocks.BLOCK_BYTES) -> DataFrame:
     """The columns of ``carry`` (the key by default) and ``ids`` of every row."""
     carry = carry or {key: F.col(key)}
     carried = [f"__c{i}" for i in range(len(carry))]
     dealt = blocks.deal(docs, key=key, text=text, carry={f"__c{i}": c for i, c in enumerate(carry.values())}, block_bytes=block_bytes)
 
     def asked(table: pa.Table) -> pa.Table:
-        units = sorted({u for body in table[BODY].to_pylist() for u in units_of(body)})
+        units = sorted({u for x in table[BODY] for u in units_of(x.as_py())})
         block = np.full(len(units), table[BLOCK][0].as_py() if table.num_rows else 0, dtype=np.int32)
         return pa.table({BLOCK: block, "place": np.arange(len(units), dtype=np.int32), "unit": pa.array(units, pa.string())})
 
@@ -116,8 +116,10 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: d
         f"p.{BLOCK}", "p.place", "ids")
 
     def applied(texts: pa.Table, known: pa.Table) -> pa.Table:
-        split = [units_of(body) for body in texts[BODY].to_pylist()]
-        number = {u: i for i, u in enumerate(sorted({u for units in split for u in units}))}
+        seen: dict[str, int] = {}
+        split = [np.array([seen.setdefault(u, len(seen)) for u in units_of(x.as_py())], dtype=np.int64) for x in texts[BODY]]
+        number = np.empty(len(seen), np.int64)
+        number[[seen[u] for u in sorted(seen)]] = np.arange(len(seen))
         lists = known["ids"].combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         order = np.argsort(known["place"].to_numpy())
@@ -125,7 +127,7 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: d
         flat = lists.values.to_numpy() if len(lists) else np.zeros(0, np.int32)
         out = []
         for units in split:
-            at = np.fromiter((number[u] for u in units), np.int64, len(units))
+            at = number[units]
             sizes = last[at] - first[at]
             inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             out.append(flat[np.repeat(first[at], sizes) + inside].astype(np.int32))

@@ -22,7 +22,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.common import as_bytes, map_arrow, materialize
@@ -52,14 +52,19 @@ def fingerprint(raw: bytes, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits((2 * total > len(hashes)).astype(np.uint8), bitorder="little").view("<i8")[0])
 
 
+def row_id(key: str, text: str) -> Column:
+    """A number for a row that only rows equal in key and text share (but for chance)."""
+    return F.xxhash64(F.col(key).cast("string"), F.col(text).cast("string"))
+
+
 def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``key`` and ``fp`` of every row, without a shuffle."""
+    """``doc``, ``row`` (of :func:`row_id`) and ``fp`` of every row, without a shuffle."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         for batch in batches:
-            yield {"key": batch.column(0), "fp": [fingerprint(x, shingle, seed) for x in as_bytes(batch.column(1))]}
+            yield {"doc": batch.column(0), "row": batch.column(1), "fp": [fingerprint(x, shingle, seed) for x in as_bytes(batch.column(2))]}
 
-    narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return map_arrow(narrow, "key long, fp long", pa.schema([("key", pa.int64()), ("fp", pa.int64())]), rows).withColumnRenamed("key", key)
+    narrow = docs.select(F.col(key).cast("long").alias("doc"), row_id(key, text).alias("row"), F.col(text).cast("string").alias("text"))
+    return map_arrow(narrow, "doc long, row long, fp long", pa.schema([(n, pa.int64()) for n in ("doc", "row", "fp")]), rows)
 
 
 def masks(segments: int, distance: int) -> list[int]:
@@ -86,8 +91,6 @@ def trees(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
     fingerprint gets many edges.
     """
     n = len(values)
-    if n == 2:
-        return [(0, 1)] if int(np.bitwise_count(values[0] ^ values[1])) <= distance else []
     table = np.bitwise_count(values[:, None] ^ PIVOTS[None, :8 if n < 64 else 32]).astype(np.int8)
     left = np.arange(n)
     out: list[tuple[int, int]] = []
@@ -113,7 +116,11 @@ def links(distinct: DataFrame, distance: int, *, cell_rows: int = 2000) -> DataF
     chosen = masks(segments_for(n, distance), distance)
     keyed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in chosen])).alias("t", "part"))
     keyed = keyed.select("fp", F.xxhash64("t", "part").alias("cell"))  # cells that meet by chance only compare more
-    sizes = keyed.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    # Large cells are looked for in buckets that hold a quarter of a large cell by chance: their counts combine before
+    # the shuffle, and only the cells of full buckets are counted one by one.
+    bucket = F.pmod("cell", F.lit(max(1, 4 * n * len(chosen) // cell_rows)))
+    full = materialize(keyed.groupBy(bucket.alias("full")).agg(F.count("*").alias("n")).where(F.col("n") > cell_rows).select("full"), "full-buckets")
+    sizes = keyed.join(full, bucket == F.col("full"), "left_semi").groupBy("cell").agg(F.count("*").alias("n"))
     large = materialize(sizes.where(F.col("n") > cell_rows).select(
         F.col("cell").alias("big"), F.ceil(F.col("n") / cell_rows).cast("int").alias("parts")), "large-cells")
     if large.isEmpty():
@@ -133,13 +140,14 @@ def links(distinct: DataFrame, distance: int, *, cell_rows: int = 2000) -> DataF
         def linked(cell: np.ndarray, fp: np.ndarray) -> dict[str, object]:
             starts = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1 if len(cell) else 0))
             ends = np.append(starts[1:], len(cell))
-            a, b = [], []
-            for lo, hi in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
-                values = fp[lo:hi]
-                for i, j in trees(values, distance):
-                    a.append(values[i])
-                    b.append(values[j])
-            return {"a": np.array(a, np.uint64).view(np.int64), "b": np.array(b, np.uint64).view(np.int64)}
+            pair = starts[ends - starts == 2]  # compared all at once
+            pair = pair[np.bitwise_count(fp[pair] ^ fp[pair + 1]) <= distance]
+            a, b = [fp[pair]], [fp[pair + 1]]
+            for lo, hi in zip(starts[ends - starts > 2], ends[ends - starts > 2], strict=True):
+                made = np.array(trees(fp[lo:hi], distance), dtype=np.int64).reshape(-1, 2) + lo
+                a.append(fp[made[:, 0]])
+                b.append(fp[made[:, 1]])
+            return {"a": np.concatenate(a).view(np.int64), "b": np.concatenate(b).view(np.int64)}
 
         for batch in batches:
             cell = np.concatenate([kept_cell, batch.column(0).to_numpy()])
@@ -179,20 +187,32 @@ def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def classes(prints: DataFrame, distance: int) -> DataFrame:
+    """``class_fp, label`` and the label's ``first_doc`` and ``first_row``: the smallest key (nulls last) and its row."""
+    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
+    distinct = materialize(prints.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
+    labels = components(links(distinct.select("fp"), distance))
+    named = materialize(distinct.join(labels, F.col("fp") == F.col("node"), "left").select(
+        F.col("fp").alias("class_fp"), "first", F.coalesce("label", "fp").alias("label")), "named")
+    smallest = materialize(named.groupBy(F.col("label").alias("of")).agg(F.min("first").alias("least")), "smallest")
+    return materialize(named.join(smallest, F.col("label") == F.col("of")).select(
+        "class_fp", "label", F.col("least.doc").alias("first_doc"), F.col("least.row").alias("first_row")), "classes")
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 4, seed: int = 42,
                     distance: int = 4) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
     prints = materialize(fingerprints(docs, key=key, text=text, shingle=shingle, seed=seed), "fingerprints")
-    return group_fingerprints(prints, key, distance)
-
-
-def group_fingerprints(prints: DataFrame, key: str, distance: int) -> DataFrame:
-    distinct = materialize(prints.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
-    labels = components(links(distinct.select("fp"), distance))
-    named = distinct.join(labels, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("label", "fp").alias("label"))
-    named = materialize(named, "named")
-    smallest = materialize(named.groupBy("label").agg(F.min("first").alias("component_id")), "smallest")
-    classes = materialize(named.join(smallest, "label").select(F.col("fp").alias("class_fp"), "component_id"), "classes")
-    return prints.join(classes, F.col("fp") == F.col("class_fp")).select(
-        key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return prints.join(classes(prints, distance), F.col("fp") == F.col("class_fp")).select(
+        F.col("doc").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first_doc").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5, distance: int = 7) -> DataFrame:
+    """``docs`` with one document of each class: the one of smallest key. Of rows equal in key and text one stays."""
+    prints = materialize(fingerprints(docs, key=key, text=text, shingle=shingle), "fingerprints")
+    kept = materialize(classes(prints, distance).select(F.col("first_row").alias("kept_row")).distinct(), "kept")
+    columns = {c: f"__in_{i}" for i, c in enumerate(docs.columns)}
+    own = docs.withColumnsRenamed(columns).withColumn("row", row_id(columns[key], columns[text]))
+    found = own.join(kept, F.col("row") == F.col("kept_row"), "left_semi")
+    turn = F.row_number().over(Window.partitionBy("row").orderBy("row"))
+    return found.withColumn("turn", turn).where("turn = 1").select(*[F.col(new).alias(old) for old, new in columns.items()])
