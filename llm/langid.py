@@ -27,7 +27,7 @@ MARK = "▁"
 LONGEST = 16
 UNKNOWN = 1e-7
 #: Distinct words a task holds before it passes their counts on or drops its store of scores.
-HELD_WORDS = 200_000
+HELD_WORDS = 300_000
 #: Anything of ASCII but letters separates words; beyond ASCII everything is taken as a letter of some script.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -55,13 +55,17 @@ def spelled(word: bytes) -> str:
     return MARK + word.decode("utf-8", "replace").lower()
 
 
-def lattice(words: list[str], pieces: dict[str, int]) -> np.ndarray:
-    """Piece ids [word, start, length - 1] for words of one length; no piece: V, an unknown single character: V + 1."""
-    n, size = len(words[0]), len(pieces)
-    get = pieces.get
-    flat = [get(word[i:i + k], size if k > 1 else size + 1) if i + k <= n else size
-            for word in words for i in range(n) for k in range(1, LONGEST + 1)]
-    return np.asarray(flat, dtype=np.int32).reshape(len(words), n, LONGEST)
+def edges(n: int) -> list[tuple[int, int]]:
+    """(start, end) of every substring of bounded length of a word of ``n`` characters, by start."""
+    return [(i, j) for i in range(n) for j in range(i + 1, min(n, i + LONGEST) + 1)]
+
+
+def lattice(words: list[str], pieces: dict[str, int], spans: list[tuple[int, int]]) -> np.ndarray:
+    """Piece ids [edge, word] for words of one length; no piece: V, an unknown single character: V + 1."""
+    get, size = pieces.get, len(pieces)
+    ids = np.array([get(word[i:j], size) for word in words for i, j in spans], dtype=np.int32).reshape(len(words), len(spans)).T
+    single = np.array([j == i + 1 for i, j in spans])
+    return np.where((ids == size) & single[:, None], size + 1, ids)
 
 
 def by_length(words: list[str]) -> Iterator[np.ndarray]:
@@ -69,7 +73,7 @@ def by_length(words: list[str]) -> Iterator[np.ndarray]:
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     for n in np.unique(lengths):
         at = np.flatnonzero(lengths == n)
-        step = max(1, 200_000 // int(n))
+        step = max(1, 100_000 // int(n))
         for i in range(0, len(at), step):
             yield at[i:i + step]
 
@@ -85,13 +89,17 @@ def forward(words: list[str], pieces: dict[str, int], probability: np.ndarray) -
     """log P(word) in every language, summed over all segmentations: [word, language]."""
     out = np.zeros((len(words), probability.shape[1]))
     for at in by_length(words):
-        ids = lattice([words[i] for i in at], pieces)
-        n = ids.shape[1]
+        n = len(words[at[0]])
+        spans = edges(n)
+        ids = lattice([words[i] for i in at], pieces, spans)
+        into: list[list[int]] = [[] for _ in range(n + 1)]
+        for e, (_, j) in enumerate(spans):
+            into[j].append(e)
         alpha = np.zeros((n + 1, len(at), probability.shape[1]))
         alpha[0] = 1
         for j in range(1, n + 1):
-            for k in range(1, min(j, LONGEST) + 1):
-                alpha[j] += alpha[j - k] * probability[ids[:, j - k, k - 1]]
+            for e in into[j]:
+                alpha[j] += alpha[spans[e][0]] * probability[ids[e]]
             if j % LONGEST == 0:
                 top = alpha[j].max(axis=1, keepdims=True)
                 alpha[max(0, j - LONGEST):j + 1] /= top
@@ -103,23 +111,21 @@ def forward(words: list[str], pieces: dict[str, int], probability: np.ndarray) -
 def expected(words: list[str], weights: np.ndarray, pieces: dict[str, int], probability: np.ndarray) -> np.ndarray:
     """Expected piece counts of weighted words (at most 32 characters and the mark) of one language."""
     counts = np.zeros(len(pieces) + 2)
-    p = probability
     for at in by_length(words):
-        ids = lattice([words[i] for i in at], pieces)
-        n = ids.shape[1]
+        n = len(words[at[0]])
+        spans = edges(n)
+        ids = lattice([words[i] for i in at], pieces, spans)
+        p = probability[ids]
         alpha, beta = np.zeros((n + 1, len(at))), np.zeros((n + 1, len(at)))
         alpha[0] = beta[n] = 1
-        for j in range(1, n + 1):
-            for k in range(1, min(j, LONGEST) + 1):
-                alpha[j] += alpha[j - k] * p[ids[:, j - k, k - 1]]
-        for i in range(n - 1, -1, -1):
-            for k in range(1, min(n - i, LONGEST) + 1):
-                beta[i] += beta[i + k] * p[ids[:, i, k - 1]]
-        share = weights[at] / alpha[n]
-        for i in range(n):
-            for k in range(1, min(n - i, LONGEST) + 1):
-                edge = ids[:, i, k - 1]
-                counts += np.bincount(edge, alpha[i] * p[edge] * beta[i + k] * share, len(counts))
+        for e, (i, j) in sorted(enumerate(spans), key=lambda x: x[1][1]):
+            alpha[j] += alpha[i] * p[e]
+        for e in range(len(spans) - 1, -1, -1):
+            i, j = spans[e]
+            beta[i] += beta[j] * p[e]
+        starts, ends = np.array(spans).T
+        share = alpha[starts] * p * beta[ends] * (weights[at] / alpha[n])
+        counts += np.bincount(ids.ravel(), share.ravel(), len(counts))
     return counts[:-2]
 
 
@@ -171,13 +177,22 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", rounds: int
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[dict[str, object]]:
             known, p = vocabulary(path), shared.value
             total = np.zeros((len(known), len(number)))
+            held: dict[str, tuple[list[str], list[int]]] = {}
+
+            def add(name: str) -> None:
+                spelt, weights = held.pop(name)
+                i = number[name]
+                total[:, i] += expected(spelt, np.array(weights, dtype=float), known, np.ascontiguousarray(p[:, i]))
+
             for batch in batches:
-                lang_of = np.asarray([number[x] for x in batch.column(0).to_pylist()], dtype=np.int64)
-                weights = batch.column(2).to_numpy().astype(float)
-                spelt = [MARK + w.lower() for w in batch.column(1).to_pylist()]
-                for i in np.unique(lang_of):
-                    at = np.flatnonzero(lang_of == i)
-                    total[:, i] += expected([spelt[j] for j in at], weights[at], known, np.ascontiguousarray(p[:, i]))
+                for name, word, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    words_, weights = held.setdefault(name, ([], []))
+                    words_.append(MARK + word.lower())
+                    weights.append(n)
+                for name in [x for x, (w, _) in held.items() if len(w) >= 50_000]:
+                    add(name)
+            for name in list(held):
+                add(name)
             piece, own = np.nonzero(total)
             yield {"lang": own, "piece": piece, "n": total[piece, own]}
 
