@@ -96,17 +96,19 @@ def patterns(size: int, present: np.ndarray) -> np.ndarray:
     return np.stack([a[good], b[good], c[good]], axis=1)
 
 
-def fit_repeats(pattern: np.ndarray, histogram: np.ndarray, rounds: int = 600) -> np.ndarray:
+def fit_repeats(pattern: np.ndarray, histogram: np.ndarray, rounds: int = 400, importance: np.ndarray | None = None) -> np.ndarray:
     """Non-negative least squares of pattern counts against the histogram, by accelerated projected gradient.
 
-    The matrix has at most three entries per column, so products are gathers and scatters.
+    The matrix has at most three entries per column, so products are gathers and scatters. ``importance`` weights the
+    lengths' residuals.
     """
     n = len(pattern)
     if not n:
         return np.zeros(0)
     bins = len(histogram)
-    target = histogram.astype(float)
-    weight = (pattern > 0).astype(float)
+    important = np.ones(bins) if importance is None else np.sqrt(importance)
+    target = histogram * important
+    weight = (pattern > 0) * important[pattern]
     apply = lambda x: np.bincount(pattern.ravel(), (weight * x[:, None]).ravel(), bins)
     back = lambda r: (weight * r[pattern]).sum(1)
     probe = np.ones(n)
@@ -129,19 +131,32 @@ def fit_repeats(pattern: np.ndarray, histogram: np.ndarray, rounds: int = 600) -
 
 
 def plan(histogram: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
-    """Sequences as (lengths, repeats) that hold exactly the histogram's pieces; work bounded by ``size``."""
-    left = histogram.astype(np.int64).copy()
+    """Sequences as (lengths, repeats) that hold exactly the histogram's pieces; work bounded by ``size``.
+
+    Residuals are fitted twice, alike for all lengths and weighted by length (short pieces fill gaps anyway), and parts
+    of the fitted counts are tried; the plan of fewest sequences is taken.
+    """
+    full = [((size,), int(histogram[size]))] if histogram[size] else []
+    rest = histogram.astype(np.int64).copy()
+    rest[size] = 0
+    table = patterns(size, np.flatnonzero(rest))
+    found: list[list[tuple[tuple[int, ...], int]]] = []
+    for importance in (None, np.arange(size + 1) / size):
+        fitted = fit_repeats(table, rest, importance=importance)
+        found += [rounded_plan(table, share * fitted, rest, size) for share in (1.0, 0.8, 0.5)]
+    return full + min(found, key=lambda made: sum(n for _, n in made))
+
+
+def rounded_plan(table: np.ndarray, fitted: np.ndarray, histogram: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
+    """Pattern counts rounded down and held to what is there, and the pieces left over packed best-fit."""
+    left = histogram.copy()
     out: list[tuple[tuple[int, ...], int]] = []
-    if left[size]:
-        out.append(((size,), int(left[size])))
-        left[size] = 0
-    table = patterns(size, np.flatnonzero(left))
-    fitted = np.floor(fit_repeats(table, left) + 1e-9).astype(np.int64)
-    for i in np.argsort(-fitted, kind="stable"):  # rounded, and never more than is there
-        if not fitted[i]:
+    counts = np.floor(fitted + 1e-9).astype(np.int64)
+    for i in np.argsort(-counts, kind="stable"):
+        if not counts[i]:
             break
         lengths, needs = np.unique(table[i][table[i] > 0], return_counts=True)
-        repeats = int(min(fitted[i], (left[lengths] // needs).min()))
+        repeats = int(min(counts[i], (left[lengths] // needs).min()))
         if repeats:
             left[lengths] -= needs * repeats
             out.append((tuple(int(x) for x in table[i] if x), repeats))

@@ -113,6 +113,20 @@ class Tokens:
                 last[key] = i
         self.skip = sorted(skip)
 
+    def in_question(self) -> np.ndarray:
+        """Unlabelled tokens that a path of skip edges connects to a base entity."""
+        beside: dict[int, list[int]] = {}
+        for a, b in self.skip:
+            beside.setdefault(a, []).append(b)
+            beside.setdefault(b, []).append(a)
+        front = [i for i in beside if self.label[i]]
+        reached = set(front)
+        while front:
+            new = [x for x in beside[front.pop()] if x not in reached]
+            reached.update(new)
+            front += new
+        return np.array(sorted(i for i in reached if not self.label[i]), dtype=np.int64)
+
 
 def fit(docs: DataFrame, *, text: str = "text", smooth: float = 1.0) -> dict[str, np.ndarray]:
     """Log potentials from base labels over all documents; the driver gets a table of fixed size."""
@@ -126,10 +140,12 @@ def fit(docs: DataFrame, *, text: str = "text", smooth: float = 1.0) -> dict[str
                 if not _SIGN.search(body):
                     continue
                 t = Tokens(body, base_spans(body))
-                np.add.at(unary, (t.shape, t.label), 1)
+                sure = np.ones(len(t.label), bool)
+                sure[t.in_question()] = False  # whether these are entities is what the field decides
+                np.add.at(unary, (t.shape[sure], t.label[sure]), 1)
                 for k, edges in enumerate((t.chain, t.skip)):
                     if edges:
-                        a, b = np.array(edges).T
+                        a, b = np.array([e for e in edges if sure[e[0]] and sure[e[1]]], dtype=np.int64).reshape(-1, 2).T
                         np.add.at(pairs[k], (t.label[a], t.label[b]), 1)
         counts = np.concatenate([unary.ravel(), pairs.ravel()])
         cell = np.flatnonzero(counts)
@@ -184,24 +200,13 @@ def added_spans(text: str, base: list[Span], model: dict[str, np.ndarray], sure:
     if not base:
         return []
     tokens = Tokens(text, base)
-    linked = {i for edge in tokens.skip for i in edge if tokens.label[i] == 0}
-    if not linked:
+    open_ = tokens.in_question()
+    if not len(open_):
         return []
     p = marginals(tokens, model)
     best = p.argmax(axis=1)
-    skipped: dict[int, list[int]] = {}
-    for a, b in tokens.skip:
-        skipped.setdefault(a, []).append(b)
-        skipped.setdefault(b, []).append(a)
-    reached = {i for i in range(len(best)) if tokens.label[i]}
-    front = list(reached)
-    while front:  # a chain of repeats counts if a base entity is among them
-        for other in skipped.get(front.pop(), []):
-            if other not in reached:
-                reached.add(other)
-                front.append(other)
     out: list[Span] = []
-    for i in sorted(linked & reached):
+    for i in open_.tolist():
         if best[i] and p[i, best[i]] >= sure:
             start, end = tokens.spans[i]
             kind = int(best[i]) - 1

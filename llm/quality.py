@@ -108,8 +108,8 @@ def judge_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     The narrow measures are written once, so texts are measured once and never shuffled.
     """
-    measured = materialize(measure(docs.withColumnsRenamed({key: "__key", host: "__source"}), text, ("__key", "__source")),
-                           "measures")
+    narrow = docs.select(F.col(key).alias("__key"), F.col(host).alias("__source"), F.col(text).alias("__text"))
+    measured = materialize(measure(narrow, "__text", ("__key", "__source")), "measures")
     hosts = host_rates(measured, "__source", rules)
     return verdict(measured, hosts, "__source", rules).select(
         F.col("__key").alias(key), *MEASURES, "base_failed", "host_rate", "kept")
