@@ -137,7 +137,7 @@ def digest(seed: str, key: str) -> str:
 
 
 def uniform_int(seed: str, key: str) -> str:
-    return f"cast(concat('0x', substr({digest(seed, key)}, 1, 8)) AS bigint)"
+    return f"cast(concat('0x', substr({digest(seed, key)}, 1, 15)) AS bigint)"
 
 
 def rates(column: str, source: str, floor_rows: int = 0) -> str:
@@ -275,6 +275,10 @@ SELECT event_id, {VELOCITY_COLUMNS}, txn_count_last_1h, txn_count_last_24h, txn_
         velocity("orders", "o_custkey", "o_orderdate", "o_orderkey", (24, 720, 8760), "last"), f"""
 SELECT o_orderkey, {VELOCITY_COLUMNS}, txn_count_last_24h, txn_count_last_720h, txn_count_last_8760h FROM velocity""")
     sql["velocity_hot_users"] = sql["velocity_txn"]
+    sql["velocity_null_users"] = with_views(TXN + """,
+ownerless AS (SELECT *, CASE WHEN event_id % 5 = 0 THEN -1 - event_id ELSE user_id END AS owner FROM txn),""" + velocity(
+        "ownerless", "owner", "purchase_time", "event_id", (1, 24, 168), "last"), f"""
+SELECT event_id, {VELOCITY_COLUMNS}, txn_count_last_1h, txn_count_last_24h, txn_count_last_168h FROM velocity""")
     # Sources, names, types.
     sql["csv_roundtrip"] = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, epoch_us(o_orderdate) AS order_us FROM orders"""
@@ -326,8 +330,9 @@ SELECT time, v1, v2, v3, coalesce(amount, (SELECT median(amount) FROM kept)) AS
     sql["clean_ranges_job"] = with_views(DIRTY_RANGES, """
 SELECT lower_bound_ip_address, upper_bound_ip_address, trim(country) AS country FROM (
   SELECT lo AS lower_bound_ip_address, hi AS upper_bound_ip_address, country,
-         row_number() OVER (PARTITION BY lo, hi ORDER BY country NULLS FIRST) AS n FROM dirty_ranges)
-WHERE n = 1 AND lower_bound_ip_address IS NOT NULL AND upper_bound_ip_address IS NOT NULL AND country IS NOT NULL""")
+         row_number() OVER (PARTITION BY lo, hi ORDER BY country) AS n FROM dirty_ranges
+  WHERE lo IS NOT NULL AND hi IS NOT NULL AND country IS NOT NULL)
+WHERE n = 1""")
     # Profiles.
     numeric = {c: t for c, t in DIRTY_TYPES.items() if t != "string"}
     stats = """'{c}' AS "column", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
@@ -441,6 +446,10 @@ FROM long l JOIN q ON l.class = q.class AND l."column" = q."column" GROUP BY l.c
     sql["quantiles_refined"] = " UNION ALL ".join(
         f"""SELECT l_returnflag, '{c}' AS "column", cast({p} AS double) AS p, round(quantile_cont({c}, {p}), 4) AS value
 FROM lineitem GROUP BY l_returnflag""" for c in ("l_quantity", "l_extendedprice") for p in (0.05, 0.5, 0.95))
+    sql["quantiles_null_groups"] = " UNION ALL ".join(
+        f"""SELECT flag, 'price' AS "column", cast({p} AS double) AS p, round(quantile_cont(price, {p}), 4) AS value
+FROM (SELECT CASE l_returnflag WHEN 'N' THEN NULL WHEN 'A' THEN '' ELSE l_returnflag END AS flag,
+             CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS price FROM lineitem) GROUP BY flag""" for p in (0.25, 0.5))
     sql["kpis"] = with_views(TXN, """
 SELECT count(*) AS transactions, cast(sum(class) AS bigint) AS fraud_cases, round(avg(class), 6) AS fraud_rate FROM txn""")
     sql["dataset_kpis"] = with_views(TXN, """
@@ -544,7 +553,7 @@ ids AS (SELECT unnest(generate_series(0, (SELECT new_n - 1 FROM n))) AS i),
 picks AS (
   SELECT i, {uniform_int("42-row", "i")} % (SELECT rare_n FROM n) AS row_index,
          {uniform_int("42-neighbor", "i")} % 5 + 1 AS rank,
-         {uniform_int("42-share", "i")} / cast(4294967296 AS double) AS share FROM ids),
+         {uniform_int("42-share", "i")} / cast(1152921504606846976 AS double) AS share FROM ids),
 ends AS (
   SELECT p.i, r.vec_id AS base, s.neighbor, p.share, a.features AS v, b.features AS w
   FROM picks p JOIN numbered r ON p.row_index = r.row_index JOIN near s ON s.vec_id = r.vec_id AND s.rank = p.rank
@@ -583,6 +592,33 @@ FROM phi p JOIN top t ON p.feature = t.feature""")
     sql["strongest_case"] = with_views(SCORED, """
 SELECT model_name, event_id, y, score FROM scored WHERE model_name = 'model_a'
 ORDER BY CASE WHEN y = 1 THEN 0 ELSE 1 END, score DESC, event_id LIMIT 1""")
+    sql["geolocation_job_rates"] = sql["geo_country_rates"]
+    sql["feature_job_facts"] = with_views(GEO, """
+SELECT count(*) AS n, cast(sum(class) AS bigint) AS fraud,
+       11 + count(DISTINCT source) + count(DISTINCT browser) + count(DISTINCT sex) + count(DISTINCT country) AS features FROM geo""")
+    sql["resampling_job_balance"] = with_views(TXN + "," + split_counts("txn"), """
+SELECT 'train_before_resampling' AS stage, class, train_n AS count FROM want UNION ALL
+SELECT 'train_after_resampling', class, (SELECT min(train_n) FROM want) FROM want UNION ALL
+SELECT 'test_holdout_unmodified', class, cast(n - train_n AS bigint) FROM want""")
+    sql["strongest_case_per_model"] = with_views(SCORED, """
+SELECT model_name, event_id, y, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY y DESC, score DESC, event_id) AS n FROM scored) WHERE n = 1""")
+    # Models: what follows from the split alone.
+    sql["tree_shap_gap"] = with_views(TXN + "," + split_counts("txn"), f"""
+SELECT t.event_id, cast(0 AS double) AS gap
+FROM (SELECT event_id, class, row_number() OVER (PARTITION BY class ORDER BY {digest("42", "event_id")}) AS n FROM txn) t
+JOIN want w ON t.class = w.class WHERE t.n > w.train_n""")
+    sql["trained_holdout_counts"] = with_views(TXN + "," + split_counts("txn"), """
+SELECT 'logistic_regression' AS model_name, sum(n - train_n) FILTER (WHERE class = 1)::bigint AS fraud,
+       sum(n - train_n) FILTER (WHERE class = 0)::bigint AS legit, max(train_n)::bigint AS train_fraud, max(train_n)::bigint AS train_legit FROM want""")
+    sql["importance_facts"] = with_views(ENGINEERED + "," + matrix(NUMERIC, CATEGORICAL, "eng"), """
+SELECT category, count(*) AS features, cast(1 AS double) AS all_importance FROM (
+  SELECT DISTINCT feature, CASE WHEN feature IN ('time_since_signup_hours', 'hour_of_day', 'day_of_week', 'age') THEN 'behavioral_timing'
+       WHEN feature LIKE 'country\\_%' ESCAPE '\\' THEN 'geography'
+       WHEN feature LIKE 'source\\_%' ESCAPE '\\' THEN 'acquisition_channel'
+       WHEN feature LIKE 'browser\\_%' ESCAPE '\\' THEN 'device_browser'
+       WHEN feature = 'purchase_value' THEN 'transaction_value' ELSE 'other' END AS category FROM matrix)
+GROUP BY category""")
     sql["insight_facts"] = with_views(COMPARED + "," + matrix(("purchase_value", "age"), ("source", "browser", "sex"), "txn") + """,
 importance AS (SELECT feature, abs(avg(value) FILTER (WHERE class = 1) - avg(value) FILTER (WHERE class = 0)) AS importance
                FROM matrix GROUP BY feature),

@@ -86,6 +86,43 @@ def geolocated_table_sink(spark: SparkSession, folder: str) -> DataFrame:
         F.sum("ip_address_int").alias("ip_sum"))
 
 
+# Jobs from raw files to written results ---------------------------------------------------
+
+
+def _raw_folder(spark: SparkSession, folder: str) -> str:
+    """The stand-in tables as the raw files, with times cut to seconds."""
+    path = scratch_path(spark, "raw")
+    base = standins.transactions(spark, folder)
+    cut = {n: F.substring(F.col(n).cast("string"), 1, 19) for n in preparation.TIMES}
+    write_table(base.withColumns(cut).select(*readers.TRANSACTIONS.names), path, readers.TRANSACTIONS_FILE, format="csv")
+    write_table(standins.ip_ranges(spark, folder), path, readers.IP_RANGES_FILE, format="csv")
+    return path
+
+
+@query
+def geolocation_job_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw files, cleaning, country lookup, written table, rates of the table read back."""
+    _, country_rates, _ = preparation.geolocation_job(spark, _raw_folder(spark, folder), scratch_path(spark, "processed"))
+    return country_rates
+
+
+@query
+def feature_job_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw files to the written feature matrix, read back."""
+    paths = preparation.feature_job(spark, _raw_folder(spark, folder), scratch_path(spark, "processed"))
+    matrix = readers.read_table(spark, paths["features"])
+    return matrix.agg(F.count("*").alias("n"), F.sum("class").alias("fraud")).withColumn("features", F.lit(len(matrix.columns) - 1).cast("long"))
+
+
+@query
+def resampling_job_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw files to the written class balance of split and thinned rows."""
+    engineered = preparation.engineer(preparation.load_base(spark, _raw_folder(spark, folder)), order_key=preparation.ROW_KEY)
+    target = scratch_path(spark, "processed")
+    modeling.resampling_job(engineered, target, strategy="undersample", key=preparation.ROW_KEY)
+    return readers.read_table(spark, f"{target}/class_imbalance_comparison").select("stage", "class", "count")
+
+
 # Time and velocity -----------------------------------------------------------------------
 
 
@@ -126,6 +163,13 @@ def velocity_hot_users(spark: SparkSession, folder: str) -> DataFrame:
     return _velocity(standins.transactions(spark, folder), "event_id", hot_rows=60, chunk_seconds=86_400)
 
 
+@query
+def velocity_null_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fifth event has no user and stands alone; users above 60 rows take the chunked way."""
+    table = standins.transactions(spark, folder).withColumn("user_id", F.when(F.col("event_id") % 5 != 0, F.col("user_id")))
+    return _velocity(table, "event_id", hot_rows=60, chunk_seconds=86_400)
+
+
 # Sources, names, types -------------------------------------------------------------------
 
 
@@ -396,6 +440,15 @@ def box_stats(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(table, 6, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
+@query
+def quantiles_null_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Bracketed quantiles by a column with null, empty and value-less groups."""
+    flag = F.when(F.col("l_returnflag") != "N", F.when(F.col("l_returnflag") == "A", F.lit("")).otherwise(F.col("l_returnflag")))
+    lines = standins.given(spark, folder, "lineitem").select(
+        flag.alias("flag"), F.when(~flag.eqNullSafe("R"), F.col("l_extendedprice")).alias("price"))
+    return rounded(quantile_frame(lines, ["price"], [0.25, 0.5], by="flag", exact_rows=1000), 4, "value")
+
+
 @query
 def quantiles_refined(spark: SparkSession, folder: str) -> DataFrame:
     """Exact quantiles of all line items by bracketing, as for tables beyond one buffer."""
@@ -648,6 +701,14 @@ def strongest_case(spark: SparkSession, folder: str) -> DataFrame:
     return attribution.strongest_case(strong, key="event_id").select("model_name", "event_id", "y", "score")
 
 
+@query
+def strongest_case_per_model(spark: SparkSession, folder: str) -> DataFrame:
+    scored = standins.scored(spark, folder)
+    return columns.stack_rows([
+        attribution.strongest_case(scored.where(F.col("model_name") == name), key="event_id").select("model_name", "event_id", "y", "score")
+        for name in ("model_a", "model_b")])
+
+
 @query
 def insight_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Importance here is the gap between the class means of a scaled feature."""
@@ -723,6 +784,32 @@ def tree_shap(spark: SparkSession, folder: str) -> DataFrame:
     return totals.join(forest.scores.select("event_id", "score"), "event_id")
 
 
+@query
+def tree_shap_gap(spark: SparkSession, folder: str) -> DataFrame:
+    """Attributions of every holdout row miss its score by nothing."""
+    return tree_shap(spark, folder).select("event_id", F.round(F.abs(F.col("explained") - F.col("score")), 6).alias("gap"))
+
+
+@query
+def trained_holdout_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Class counts of the untouched holdout as a model fitted on oversampled rows was scored on it."""
+    data = modeling.resample_train(_prepared(spark, folder))
+    fitted = training.train_model("logistic_regression", data.train_resampled, data.prepared.test, key="event_id")
+    sizes = sampling.class_sizes(data.train_resampled, "class")
+    return fitted.metrics.select(
+        "model_name", (F.col("true_positives") + F.col("false_negatives")).alias("fraud"),
+        (F.col("false_positives") + F.col("true_negatives")).alias("legit"),
+        F.lit(sizes[1]).cast("long").alias("train_fraud"), F.lit(sizes[0]).cast("long").alias("train_legit"))
+
+
+@query
+def importance_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of the forest's importance table by category, and their whole."""
+    table = feature_importance(spark, folder)
+    whole = table.agg(F.round(F.sum("importance"), 6)).first()[0]
+    return table.groupBy("category").agg(F.count("*").alias("features")).withColumn("all_importance", F.lit(whole))
+
+
 @query
 def sampled_shap(spark: SparkSession, folder: str) -> DataFrame:
     """Model-agnostic attributions of boosted trees, ranked."""

@@ -111,3 +111,26 @@ def test_comparison_columns_and_unpivot(spark):
 def test_stack_rows_fills_absent_columns(spark):
     stacked = stack_rows([spark.range(1).selectExpr("id AS a"), spark.range(1).selectExpr("id AS b")])
     assert sorted(stacked.collect(), key=repr) == sorted([(0, None), (None, 0)], key=repr)
+
+
+def test_picks_reach_beyond_32_bits(spark):
+    picks = [r[0] for r in spark.range(200).select(seeded.seeded_pick(F.lit(2**50), 1, F.col("id"))).collect()]
+    assert max(picks) > 2**48 and min(picks) >= 0 and len(set(picks)) == 200
+
+
+def test_null_keys_have_a_digest(spark):
+    row = spark.range(1).select(seeded.seeded_digest(1, F.lit(None)).alias("a"), seeded.seeded_digest(1, F.lit("")).alias("b")).first()
+    assert row["a"] and row["a"] != row["b"]
+
+
+def test_scratch_is_deleted(spark):
+    from txnlens.session import materialize, scratch
+
+    with scratch(spark):
+        table = materialize(spark.range(3), "gone")
+        path = table.inputFiles()[0]
+        assert table.count() == 3
+    import os
+    from urllib.parse import urlparse
+
+    assert not os.path.exists(urlparse(path).path)

@@ -4,6 +4,7 @@ import pytest
 
 from txnlens.operators.geolocation import UNKNOWN, attach_country, disjoint_ranges, match_quality
 from txnlens.operators.segments import rate_by
+from txnlens.plans.preparation import clean_ip_ranges
 
 RANGES = "lower_bound_ip_address long, upper_bound_ip_address long, country string"
 WAYS = [{}, {"max_broadcast_ranges": 0, "salts": 3}]
@@ -71,3 +72,16 @@ def test_country_rates(spark):
 def test_match_quality(spark):
     df = spark.createDataFrame([("A",), ("A",), ("unknown",)], "country string")
     assert tuple(match_quality(df).first()) == (3, 2, 66.67, 1, 1)
+
+
+def test_a_missing_name_never_hides_a_known_one(spark):
+    raw = spark.createDataFrame([(0, 10, None), (0, 10, "Peru"), (20, 30, None)], RANGES)
+    assert [tuple(r) for r in clean_ip_ranges(raw).collect()] == [(0, 10, "Peru")]
+    assert [r["country"] for r in disjoint_ranges(raw).where("lower = 0").collect()] == ["Peru"]
+
+
+@pytest.mark.parametrize("options", WAYS)
+def test_events_may_hold_any_type(spark, options):
+    events = spark.sql("SELECT id, map('a', id) AS m, CASE WHEN id < 90 THEN NULL ELSE id END AS ip_address_int FROM range(100)")
+    found = attach_country(events, spark.createDataFrame([(95, 99, "Peru")], RANGES), **options)
+    assert {(r["country"], r["n"]) for r in found.groupBy("country").count().withColumnRenamed("count", "n").collect()} == {("Peru", 5), (UNKNOWN, 95)}

@@ -57,3 +57,11 @@ def test_empty_column(spark):
 def test_approximate(spark):
     df = spark.range(1001).selectExpr("cast(id AS double) AS x")
     assert abs(quantile_values(df, ["x"], [0.5], approx=10_000)["x"][0] - 500) <= 1
+
+
+@pytest.mark.parametrize("exact_rows", [10**6, 5])
+def test_null_empty_and_missing_groups_stay_apart(spark, exact_rows):
+    rows = [(None, float(i)) for i in range(100)] + [("", 1000.0 + i) for i in range(100)] + [("c", None)] * 3
+    df = spark.createDataFrame(rows, "g string, x double").repartition(3)
+    got = {r["g"]: r["value"] for r in quantile_frame(df, ["x"], [0.5], by="g", exact_rows=exact_rows).collect()}
+    assert got == {None: 49.5, "": 1049.5, "c": None}

@@ -77,3 +77,19 @@ def test_one_exchange_per_table(spark):
 def test_missing_column(spark):
     with pytest.raises(ValueError, match="user_id"):
         add_velocity(spark.range(1).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01' AS purchase_time"))
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1])
+def test_rows_without_user_stand_alone(spark, hot_rows):
+    df = spark.createDataFrame([(i, None if i < 3 else 1, START) for i in range(6)], SCHEMA)
+    table = {r["event_id"]: r for r in add_velocity(df, hot_rows=hot_rows).collect()}
+    assert [table[i]["txn_count_last_1h"] for i in range(6)] == [1, 1, 1, 3, 3, 3]
+    assert [table[i]["user_cumulative_txn_count"] for i in range(3)] == [1, 1, 1]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1])
+def test_order_key_may_repeat(spark, hot_rows):
+    df = spark.createDataFrame([(1, 1, START + dt.timedelta(hours=i)) for i in range(5)], SCHEMA)
+    rows = add_velocity(df, hot_rows=hot_rows).orderBy("purchase_time").collect()
+    assert [r["user_cumulative_txn_count"] for r in rows] == [1, 2, 3, 4, 5]
+    assert [r["hours_since_last_txn"] for r in rows] == [0.0, 1.0, 1.0, 1.0, 1.0]

@@ -11,20 +11,21 @@ from pyspark.sql import functions as F
 
 
 def seeded_digest(seed: int | str, *keys: Column) -> Column:
+    """md5 of the seed and the keys; a null key has a digest of its own."""
     parts: list[Column] = [F.lit(str(seed))]
     for key in keys:
-        parts += [F.lit("-"), key.cast("string")]
+        parts += [F.lit("-"), F.coalesce(key.cast("string"), F.lit("\u0000"))]
     return F.md5(F.concat(*parts))
 
 
 def digest_number(digest: Column) -> Column:
-    """First 32 bits of a hex digest as a long in ``[0, 2**32)``."""
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    """First 60 bits of a hex digest as a long in ``[0, 2**60)``."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def seeded_uniform(seed: int | str, *keys: Column) -> Column:
     """Double in ``[0, 1)``."""
-    return digest_number(seeded_digest(seed, *keys)).cast("double") / F.lit(float(2**32))
+    return digest_number(seeded_digest(seed, *keys)).cast("double") / F.lit(float(2**60))
 
 
 def seeded_pick(size: Column, seed: int | str, *keys: Column) -> Column:

@@ -54,6 +54,13 @@ def coerce(df: DataFrame, types: dict[str, str | T.DataType]) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
+def with_row_key(df: DataFrame, name: str = "transaction_id") -> DataFrame:
+    """Add the md5 of all cells: unique wherever whole rows are, and the same on every run."""
+    cells = [F.coalesce(F.concat(F.length(F.col(f"`{c}`").cast("string")).cast("string"), F.lit(":"), F.col(f"`{c}`").cast("string")), F.lit("~"))
+             for c in df.columns if c != name]
+    return df.withColumn(name, F.md5(F.concat_ws("|", *cells)))
+
+
 def coerce_transactions(df: DataFrame) -> DataFrame:
     return coerce(df, {
         "purchase_value": "double", "age": "long", "ip_address": "double", "class": "long",

@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlens.functions.checks import require_columns
+from txnlens.functions.checks import present, require_columns
 from txnlens.operators.profiling import value_counts
 
 # The feature columns a fraud model uses, in matrix order.
@@ -25,8 +25,6 @@ NUMERIC_FEATURES = (
 CATEGORICAL_FEATURES = ("source", "browser", "sex")
 OPTIONAL_CATEGORICAL_FEATURES = ("country",)
 
-MAX_CATEGORIES = 10_000
-
 
 @dataclass(frozen=True)
 class FeatureConfig:
@@ -96,13 +94,13 @@ class FittedEncoder:
 
 
 def fit_encoder(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> FittedEncoder:
-    """Population mean and deviation (1 for a constant column), categories in text order."""
+    """Population mean and deviation (1 for a constant column) of the cells that are there, categories in text order."""
     numeric, categorical = config.resolve(df.columns)
-    moments = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(numeric)],
-                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"d{i}") for i, c in enumerate(numeric)]).first()
+    values = [present(df, c).cast("double") for c in numeric]
+    moments = df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(values)],
+                     *[F.stddev_pop(v).alias(f"d{i}") for i, v in enumerate(values)]).first()
     scales = {c: (moments[f"m{i}"] or 0.0, moments[f"d{i}"] or 1.0) for i, c in enumerate(numeric)}
-    seen = value_counts(df, categorical).select("column", "value").limit(MAX_CATEGORIES + 1).collect()
-    if len(seen) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories: leave identifiers out of the encoding")
+    # As many rows as the matrix gets columns.
+    seen = value_counts(df, categorical).select("column", "value").collect()
     categories = {c: sorted(r["value"] for r in seen if r["column"] == c) for c in categorical}
     return FittedEncoder(scales, categories, config.target)

@@ -30,7 +30,7 @@ def disjoint_ranges(ranges: DataFrame, *, country_column: str = COUNTRY) -> Data
     """Ranges cut so that no two overlap: ``lower``, ``upper``, ``country``.
 
     Of several ranges with one lower bound the longest is kept, then the first country by
-    name. Bounds are IPv4 integers, so there are at most 65,536 blocks: the only window
+    name (a missing name last). Bounds are IPv4 integers, so there are at most 65,536 blocks: the only window
     without a wide partition key runs over one row per block.
     """
     require_columns(ranges, [LOWER, UPPER, country_column])
@@ -40,7 +40,7 @@ def disjoint_ranges(ranges: DataFrame, *, country_column: str = COUNTRY) -> Data
                       F.col(country_column).alias("country"))
         .where(F.col("lower").between(0, IPV4_MAX) & F.col("upper").isNotNull())
         .groupBy("lower")
-        .agg(F.min(F.struct((-F.col("upper")).alias("reversed"), "country")).alias("first"))
+        .agg(F.min(F.struct((-F.col("upper")).alias("reversed"), F.col("country").isNull().alias("unnamed"), "country")).alias("first"))
         .select("lower", (-F.col("first.reversed")).alias("upper"), F.col("first.country").alias("country"),
                 block.alias("block"))
     )
@@ -67,9 +67,9 @@ def attach_country(events: DataFrame, ranges: DataFrame, *, ip_column: str = "ip
 
     Up to ``max_broadcast_ranges`` ranges (counted first) the exploded side has at most that
     many rows plus 65,536 and is broadcast, so the events are never shuffled. A larger range
-    table is joined by shuffle, with a hash of the whole row as salt: a block, or the null
-    address, that holds a third of the events spreads over ``salts`` tasks, and adaptive
-    skew splitting divides what is left.
+    table is joined by shuffle and salted with the row's place in its partition (any salt finds the
+    same range, so no column is read for it): a block, or the null address, that holds a third of
+    the events spreads over ``salts`` tasks, and adaptive skew splitting divides what is left.
     """
     require_columns(events, [ip_column])
     small = ranges.limit(max_broadcast_ranges + 1).count() <= max_broadcast_ranges
@@ -87,7 +87,7 @@ def attach_country(events: DataFrame, ranges: DataFrame, *, ip_column: str = "ip
         lookup = F.broadcast(lookup)
     else:
         lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        probe = probe.withColumn("_row_salt", F.pmod(F.xxhash64(*events.columns), F.lit(salts)).cast("int"))
+        probe = probe.withColumn("_row_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
         matches = matches & (F.col("_row_salt") == F.col("_salt"))
     kept = [c for c in events.columns if c != country_column]
     return probe.join(lookup, matches, "left").select(

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnlens.functions.checks import present, require_columns
 
@@ -34,7 +35,9 @@ def quantile_frame(df: DataFrame, columns: Sequence[str], probabilities: Sequenc
     """
     require_columns(df, [*columns, *([by] if by else [])])
     data = df.select(*([F.col(by)] if by else []), *[present(df, c).cast("double").alias(c) for c in columns])
-    if approx is None and (data.count() if rows is None else rows) > exact_rows:
+    # All columns share one buffer per group, so cells are bounded as well as rows.
+    most = min(exact_rows, 4 * exact_rows // max(1, len(columns)))
+    if approx is None and (data.count() if rows is None else rows) > most:
         return _refined(data, list(columns), list(probabilities), by, exact_rows)
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
     if approx is None:
@@ -63,15 +66,21 @@ def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Sequen
 def _refined(data: DataFrame, columns: list[str], probabilities: list[float],
              by: str | None, exact_rows: int) -> DataFrame:
     targets = [(c, p) for c in columns for p in probabilities]
-    group = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
-    keyed = data.withColumn("_group", group)
-    sizes = {r["_group"]: r for r in keyed.groupBy("_group").agg(*[F.count(c).alias(c) for c in columns]).collect()}
+    # Groups get numbers, so that null, empty text and groups without values stay apart.
+    counts = [F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)]
+    found = (data.groupBy(by) if by else data.groupBy()).agg(*counts).collect()
+    sizes = {g: {c: r[f"_n{i}"] for i, c in enumerate(columns)} for g, r in enumerate(found)}
+    keyed = data.withColumn("_group", F.lit(0))
+    if by:
+        kind = T.StructType([T.StructField("_by", data.schema[by].dataType), T.StructField("_group", T.IntegerType())])
+        groups = data.sparkSession.createDataFrame([(r[by], g) for g, r in enumerate(found)], kind)
+        keyed = data.join(F.broadcast(groups), data[by].eqNullSafe(groups["_by"])).drop("_by")
     ranks = {(g, c, p): p * (n[c] - 1) for g, n in sizes.items() for c, p in targets if n[c]}
     brackets = {key: (-math.inf, math.inf) for key in ranks}
     # Per target: values below its bracket, in it, and strictly inside.
     seen = {(g, c, p): (0, sizes[g][c], sizes[g][c]) for g, c, p in ranks}
     low, high = [f"_low{i}" for i in range(len(targets))], [f"_high{i}" for i in range(len(targets))]
-    schema = ", ".join(["_group string", *[f"{name} double" for pair in zip(low, high, strict=True) for name in pair]])
+    schema = ", ".join(["_group int", *[f"{name} double" for pair in zip(low, high, strict=True) for name in pair]])
 
     def bracketed() -> DataFrame:
         """The data with its group's current brackets: one small row per group."""
@@ -119,22 +128,25 @@ def _refined(data: DataFrame, columns: list[str], probabilities: list[float],
         F.struct(F.lit(i).alias("_target"), F.when(inside(i), F.col(c)).alias("_v"))
         for i, (c, _) in enumerate(targets)])
     values = (
-        bracketed().select("_group", *([by] if by else []), F.inline(cells)).where(F.col("_v").isNotNull())
-        .groupBy("_group", *([by] if by else []), "_target", "_v").agg(F.count("*").alias("_n"))
+        bracketed().select("_group", F.inline(cells)).where(F.col("_v").isNotNull())
+        .groupBy("_group", "_target", "_v").agg(F.count("*").alias("_n"))
     )
     upto = F.sum("_n").over(W.partitionBy("_group", "_target").orderBy("_v"))
     wanted = data.sparkSession.createDataFrame(
         [(g, targets.index((c, p)), c, float(p), math.floor(rank) - seen[g, c, p][0],
           math.ceil(rank) - seen[g, c, p][0], rank - math.floor(rank)) for (g, c, p), rank in ranks.items()],
-        "_group string, _target int, column string, p double, _k0 long, _k1 long, _share double")
+        "_group int, _target int, column string, p double, _k0 long, _k1 long, _share double")
     ranked = values.withColumn("_upto", upto).join(F.broadcast(wanted), ["_group", "_target"])
 
     def at(rank: str) -> Column:
         reached = (F.col("_upto") > F.col(rank)) & (F.col("_upto") - F.col("_n") <= F.col(rank))
         return F.max(F.when(reached, F.col("_v")))
 
-    keys = ([by] if by else []) + ["column", "p"]
-    return (
-        ranked.groupBy(*keys, "_share").agg(at("_k0").alias("_low"), at("_k1").alias("_high"))
-        .select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias("value"))
-    )
+    values = ranked.groupBy("_group", "_target", "_share").agg(at("_k0").alias("_low"), at("_k1").alias("_high")).select(
+        "_group", "_target", (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias("value"))
+    every = data.sparkSession.createDataFrame(
+        [(g, i, c, float(p)) for g in sizes for i, (c, p) in enumerate(targets)], "_group int, _target int, column string, p double")
+    table = every.join(values, ["_group", "_target"], "left")
+    if by:
+        table = table.join(F.broadcast(groups), "_group").withColumnRenamed("_by", by)
+    return table.select(*([by] if by else []), "column", "p", "value")

@@ -22,15 +22,18 @@ WEIGHT = "class_weight"
 
 
 def default_estimator(name: str, *, rows: int, seed: int = 42, balanced: bool = True) -> Estimator:
-    """An untuned estimator. ``rows`` scales the ridge penalty, so it means the same at any size."""
+    """An untuned estimator. ``rows`` scales the ridge penalty, so it means the same at any size.
+
+    ``balanced`` weights classes in the linear model and the forest; boosted trees are never weighted.
+    """
     common = {"featuresCol": "features", "labelCol": "class"}
-    if balanced:
+    if balanced and name != "gradient_boosted_trees":
         common["weightCol"] = WEIGHT
     if name == "logistic_regression":
         return LogisticRegression(maxIter=1000, regParam=1.0 / max(rows, 1), elasticNetParam=0.0,
                                   standardization=False, **common)
     if name == "random_forest":
-        return RandomForestClassifier(numTrees=100, maxDepth=12, featureSubsetStrategy="sqrt", seed=seed,
+        return RandomForestClassifier(numTrees=100, maxDepth=30, featureSubsetStrategy="sqrt", seed=seed,
                                       **common)
     if name == "gradient_boosted_trees":
         return GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.1, seed=seed, **common)
@@ -76,10 +79,15 @@ def score_rows(model: Model, df: DataFrame, *, name: str, key: str, label: str =
 
 
 def train_model(name: str, train: DataFrame, test: DataFrame, *, key: str, estimator: Estimator | None = None,
-                seed: int = 42, balanced: bool = True) -> TrainedModel:
-    """Fit on ``train`` (label ``class``, column ``features``), score ``test``."""
+                seed: int = 42, balanced: bool = True, inverse_penalty: float | None = None) -> TrainedModel:
+    """Fit on ``train`` (label ``class``, column ``features``), score ``test``.
+
+    ``inverse_penalty`` sets the ridge penalty of a linear model relative to the rows it is fitted on.
+    """
     require_columns(train, ["features", "class"])
     data = as_vectors(train)
+    if estimator is not None and inverse_penalty is not None:
+        estimator = estimator.copy({estimator.getParam("regParam"): 1.0 / (inverse_penalty * max(data.count(), 1))})
     if estimator is None:
         estimator = default_estimator(name, rows=data.count(), seed=seed, balanced=balanced)
     if estimator.hasParam("weightCol") and estimator.isDefined("weightCol") and estimator.getOrDefault("weightCol") == WEIGHT:

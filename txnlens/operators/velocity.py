@@ -30,7 +30,8 @@ def add_velocity(df: DataFrame, *, user_column: str = "user_id", time_column: st
                  chunk_seconds: int = 60, count_users_in: DataFrame | None = None) -> DataFrame:
     """Add gap to the previous purchase, running count, daily rate and trailing counts.
 
-    ``order_key`` orders purchases of one instant and must be unique per row. The daily rate
+    ``order_key`` orders purchases of one instant; rows that share it follow in any order. A row
+    without a user is a user of its own. The daily rate
     divides by the user's whole active span, which looks ahead; ``as_of_row=True`` divides by
     the span up to the row. Trailing counts include both ends and all ties. ``hot_rows=None``
     skips the search for hot users. The search counts rows per user in ``count_users_in``,
@@ -43,14 +44,17 @@ def add_velocity(df: DataFrame, *, user_column: str = "user_id", time_column: st
     if hot_rows is not None:
         # At most rows / hot_rows users can be this large, which bounds the broadcast below.
         counted = df if count_users_in is None else count_users_in
-        hot_users = counted.groupBy(user_column).count().where(F.col("count") > hot_rows).select(user_column)
+        hot_users = counted.where(F.col(user_column).isNotNull()).groupBy(user_column).count().where(
+            F.col("count") > hot_rows).select(user_column)
         if not hot_users.isEmpty():
             # Written once: the chunked way reads the hot rows several times.
             hot_users = F.broadcast(materialize(hot_users, "hot-users"))
             cold = timed.join(hot_users, user_column, "left_anti")
-            hot = materialize(timed.join(hot_users, user_column, "left_semi"), "hot-rows")
-            plain = _by_user_window(cold, user_column, order_key, windows).unionByName(
-                _by_chunks(hot, user_column, order_key, windows, chunk_seconds * 1_000_000))
+            # The row number, fixed once written, keeps rows apart that share an order key.
+            hot = timed.join(hot_users, user_column, "left_semi").withColumn("_row", F.monotonically_increasing_id())
+            hot = materialize(hot, "hot-rows")
+            plain = _by_user_window(cold, user_column, order_key, windows).drop("_alone").unionByName(
+                _by_chunks(hot, user_column, order_key, windows, chunk_seconds * 1_000_000).drop("_row"))
     rate = _daily_rate(F.col("_index"), F.col("_first"), F.col("_at") if as_of_row else F.col("_last"))
     return plain.select(
         *df.columns,
@@ -74,7 +78,9 @@ def _daily_rate(index: Column, first: Column, last: Column) -> Column:
 
 
 def _by_user_window(timed: DataFrame, user: str, key: str, windows: list[int]) -> DataFrame:
-    whole = W.partitionBy(user)
+    alone = F.when(F.col(user).isNull(), F.struct(key, F.monotonically_increasing_id().alias("row")))
+    timed = timed.withColumn("_alone", alone)
+    whole = W.partitionBy(user, "_alone")
     timeline = whole.orderBy(F.col("_at").asc_nulls_last())
     ranked = whole.orderBy(F.col("_at").asc_nulls_last(), key)
     # The finest order first: the range frames below reuse its sort.
@@ -102,14 +108,14 @@ def _by_chunks(timed: DataFrame, user: str, key: str, windows: list[int], chunk:
     """
     end_of_time = F.lit(2**62)
     points = timed.select(
-        user, key,
+        user, key, "_row",
         F.explode(F.array(
             F.struct(F.lit(1).alias("event"), F.lit(0).alias("hours"),
                      F.coalesce("_at", end_of_time).alias("at")),
             *[F.struct(F.lit(0).alias("event"), F.lit(h).alias("hours"),
                        (F.col("_at") - h * MICROS_PER_HOUR).alias("at")) for h in windows],
         )).alias("p"),
-    ).select(user, key, "p.*").where(F.col("at").isNotNull()).withColumn("chunk", F.floor(F.col("at") / chunk))
+    ).select(user, key, "_row", "p.*").where(F.col("at").isNotNull()).withColumn("chunk", F.floor(F.col("at") / chunk))
 
     event_time = F.when((F.col("event") == 1) & (F.col("at") < end_of_time), F.col("at"))
     # One row per user and chunk: bounded by the time span of the table over the chunk length.
@@ -122,7 +128,7 @@ def _by_chunks(timed: DataFrame, user: str, key: str, windows: list[int], chunk:
                 F.max("latest").over(earlier).alias("latest_before"))
     )
     piece = W.partitionBy(user, "chunk")
-    ordered = piece.orderBy("at", "event", key)
+    ordered = piece.orderBy("at", "event", key, "_row")
     running = points.select(
         "*",
         F.sum("event").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("upto"),
@@ -133,7 +139,7 @@ def _by_chunks(timed: DataFrame, user: str, key: str, windows: list[int], chunk:
     )
     lifted = running.join(totals, [user, "chunk"])
     is_event = F.col("event") == 1
-    counts = lifted.groupBy(user, key).agg(
+    counts = lifted.groupBy(user, "_row").agg(
         F.max(F.when(is_event, F.col("before") + F.col("upto"))).alias("_index"),
         F.max(F.when(is_event, F.col("before") + F.col("with_ties"))).alias("_reached"),
         F.max(F.when(is_event, F.greatest("previous", "latest_before"))).alias("_previous"),
@@ -143,7 +149,7 @@ def _by_chunks(timed: DataFrame, user: str, key: str, windows: list[int], chunk:
     spans = timed.groupBy(user).agg(
         F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count("*").alias("_size"))
     return (
-        timed.join(counts, [user, key]).join(F.broadcast(spans), user)
+        timed.join(counts, [user, "_row"]).join(F.broadcast(spans), user)
         .select(*timed.columns, "_index", "_previous",
                 *[F.when(F.col("_at").isNull(), F.lit(0)).otherwise(F.col("_reached") - F.col(f"_before_{h}"))
                   .alias(f"_within_{h}") for h in windows],

@@ -102,7 +102,8 @@ def run_modeling(engineered: DataFrame, *, models: Iterable[str] = MODEL_NAMES,
     for name in models:
         found = tune_model(name, split.train, key=key, folds=folds, seed=seed, search=(searches or {}).get(name))
         tuned.append(found)
-        trained.append(train_model(name, data.train_resampled, split.test, key=key, estimator=found.estimator))
+        trained.append(train_model(name, data.train_resampled, split.test, key=key, estimator=found.estimator,
+                                   inverse_penalty=found.best_params.get("C")))
     result = ModelingResult(data, tuned, trained, compare_trained(trained), pick_best(trained))
     if report_folder:
         save_report(result, report_folder)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txnlens.functions.checks import require_columns
 from txnlens.operators.cleaning import drop_duplicates, fill_missing, parse_timestamps
-from txnlens.operators.columns import coerce_cards, coerce_ip_ranges, coerce_transactions, snake_columns
+from txnlens.operators.columns import coerce_cards, coerce_ip_ranges, coerce_transactions, snake_columns, with_row_key
 from txnlens.operators.encoding import FeatureConfig, FittedEncoder, fit_encoder
 from txnlens.operators.geolocation import LOWER, UPPER, add_ip_integer, attach_country
 from txnlens.operators.segments import rate_by
@@ -21,16 +21,21 @@ IDENTIFIERS = ("user_id", "event_id", "ip_address")
 TIMES = ("signup_time", "purchase_time")
 
 
-def clean_transactions(raw: DataFrame, *, fill_identifiers: bool = False, approx: int | None = None) -> DataFrame:
+# The raw table has no key: users repeat, so rows are known by all their cells.
+ROW_KEY = "transaction_id"
+
+
+def clean_transactions(raw: DataFrame, *, fill_identifiers: bool = False, approx: int | None = None,
+                       row_key: str | None = None) -> DataFrame:
     """Names, times, whole-row duplicates, missing values, types.
 
     Identifiers keep their gaps unless ``fill_identifiers``. Ages filled with a fractional
     median are cut to whole years by the final types. The deduplicated rows are written to the
     shared folder: finding the fill values then scans single columns instead of repeating the
-    whole-row shuffle.
+    whole-row shuffle. ``row_key`` names a column that gets a digest of the distinct row.
     """
-    table = parse_timestamps(snake_columns(raw), TIMES)
-    table = materialize(drop_duplicates(table), "deduplicated")
+    table = drop_duplicates(parse_timestamps(snake_columns(raw), TIMES))
+    table = materialize(with_row_key(table, row_key) if row_key else table, "deduplicated")
     table = fill_missing(table, required=[*TIMES, "class"], numeric_fill="median", string_fill="unknown",
                          exclude=() if fill_identifiers else IDENTIFIERS, approx=approx)
     return coerce_transactions(table)
@@ -43,9 +48,12 @@ def clean_cards(raw: DataFrame, *, approx: int | None = None) -> DataFrame:
 
 
 def clean_ip_ranges(raw: DataFrame) -> DataFrame:
-    """Names, one row per pair of bounds, no missing cell, types, trimmed country."""
-    table = drop_duplicates(snake_columns(raw), subset=[LOWER, UPPER], keep="first", order_by=["country"])
-    return coerce_ip_ranges(fill_missing(table, required=[LOWER, UPPER, "country"], string_fill="unknown"))
+    """Names, no missing cell, one row per pair of bounds, types, trimmed country.
+
+    Incomplete rows go first, so that they never stand in for a complete row of the same bounds.
+    """
+    table = fill_missing(snake_columns(raw), required=[LOWER, UPPER, "country"], string_fill="unknown")
+    return coerce_ip_ranges(drop_duplicates(table, subset=[LOWER, UPPER], keep="first", order_by=["country"]))
 
 
 def cleaning_job(spark: SparkSession, raw_folder: str, output_folder: str, *, format: str = "parquet") -> dict[str, str]:
@@ -73,8 +81,8 @@ def geolocation_job(spark: SparkSession, raw_folder: str, output_folder: str, *,
 
 
 def load_base(spark: SparkSession, raw_folder: str, *, include_country: bool = True) -> DataFrame:
-    """Cleaned transactions, with countries when the range table exists."""
-    return with_country(clean_transactions(readers.read_transactions(spark, raw_folder)), raw_folder,
+    """Cleaned transactions with ``transaction_id``, and with countries when the range table exists."""
+    return with_country(clean_transactions(readers.read_transactions(spark, raw_folder), row_key=ROW_KEY), raw_folder,
                         include_country=include_country)
 
 
@@ -114,11 +122,12 @@ def feature_matrix(engineered: DataFrame, *, config: FeatureConfig = FeatureConf
 
 
 def feature_job(spark: SparkSession, raw_folder: str, output_folder: str, *, include_country: bool = True,
-                order_key: str = "user_id", format: str = "parquet") -> dict[str, str]:
-    """Write the engineered table, then the matrix built from the written table."""
-    cleaned = clean_transactions(readers.read_transactions(spark, raw_folder))
+                order_key: str = ROW_KEY, keep_key: bool = False, format: str = "parquet") -> dict[str, str]:
+    """Write the engineered table (with the row key if wanted), then the matrix built from the written table."""
+    cleaned = clean_transactions(readers.read_transactions(spark, raw_folder), row_key=ROW_KEY)
     engineered = engineer(with_country(cleaned, raw_folder, include_country=include_country), order_key=order_key,
                           count_users_in=cleaned)
+    engineered = engineered if keep_key else engineered.drop(ROW_KEY)
     engineered_path = write_table(engineered, output_folder, "fraud_data_engineered", format=format)
     saved = readers.read_table(spark, engineered_path, format=format, schema=engineered.schema)
     matrix, _ = feature_matrix(saved, keep=())

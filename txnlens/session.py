@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +45,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_HANDED_OUT: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/txnlens/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/txnlens/{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was written under :func:`scratch_path` meanwhile; results must be written elsewhere by then."""
+    before = len(_HANDED_OUT)
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for name in _HANDED_OUT[before:]:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        del _HANDED_OUT[before:]
 
 
 def materialize(df: DataFrame, label: str = "step", *, partition_by: Sequence[str] = ()) -> DataFrame:
