@@ -87,8 +87,8 @@ def trees(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Edges (places in ``values``) that connect what is linked among distinct fingerprints.
 
     Pivot distances are tabled once; a round compares one fingerprint with those not yet reached, discards by the
-    largest coordinate difference, and verifies the rest. A component's members form a binary tree, so that no
-    fingerprint gets many edges.
+    largest coordinate difference, and verifies the rest. A component's members are tied to its smallest, so cells that
+    hold the same family send the same edges, which are told once.
     """
     n = len(values)
     table = np.bitwise_count(values[:, None] ^ PIVOTS[None, :8 if n < 64 else 32]).astype(np.int8)
@@ -106,7 +106,8 @@ def trees(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
                 members += near.tolist()
                 front += near.tolist()
                 left = left[~np.isin(left, near, assume_unique=True)]
-        out += [(int(members[i]), int(members[(i - 1) // 2])) for i in range(1, len(members))]
+        least = min(members)
+        out += [(int(x), int(least)) for x in members if x != least]
     return out
 
 
@@ -207,7 +208,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         F.col("doc").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first_doc").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5, distance: int = 7) -> DataFrame:
+def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5, distance: int = 6) -> DataFrame:
     """``docs`` with one document of each class: the one of smallest key. Of rows equal in key and text one stays."""
     prints = materialize(fingerprints(docs, key=key, text=text, shingle=shingle), "fingerprints")
     kept = materialize(classes(prints, distance).select(F.col("first_row").alias("kept_row")).distinct(), "kept")
