@@ -98,7 +98,7 @@ def test_families_and_chains_are_whole(spark, cell_rows):
         values.append(flip(values[-1], 4))
     values += [0, 2**64 - 1, 15, 31]
     signed = [v - 2**64 if v >= 2**63 else v for v in set(values)]
-    for distance in (4, 7):
+    for distance in (4, 6):
         root = groups_by_hand([v % 2**64 for v in signed], distance)
         table = materialize(spark.createDataFrame([(v,) for v in signed], "fp long"), "values")
         found = {r.node: r.label for r in simhash.components(simhash.links(table, distance, cell_rows=cell_rows)).collect()}
@@ -182,7 +182,7 @@ def test_pipeline_stages(spark, small_folder, tricky, nothing):
                 assert all(len(WORD.findall(r.text)) >= 50 for r in new.collect())
             if name == "SimHash near-dedup":
                 prints = [simhash.fingerprint(r.text.encode(), 5) for r in new.collect()]
-                root = groups_by_hand([p % 2**64 for p in prints], 7)
+                root = groups_by_hand([p % 2**64 for p in prints], 6)
                 assert len(set(root.values())) == len(prints)
             if name == "substring dedup":
                 assert all(r.n_chars == len(r.text) for r in new.collect())
