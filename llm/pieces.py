@@ -158,15 +158,15 @@ def decode(encoded: DataFrame, *, ids: str = "ids", path: str | None = None) ->
     return encoded.mapInArrow(run, schema)
 
 
-def lossless(decoded: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, number and crc32 of the ids (as little-endian 32-bit numbers), crc32 of the decoded text, and whether that is the text."""
+def lossless(decoded: DataFrame, *, key: str = "doc_id", crc: str = "given_crc32") -> DataFrame:
+    """``key``, number and crc32 of the ids (as little-endian 32-bit numbers), crc32 of the decoded text, and whether ``crc`` is that."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         for batch in batches:
             ids = [np.asarray(x, dtype="<u4") for x in batch.column(1).to_pylist()]
-            back, given = as_bytes(batch.column(2)), as_bytes(batch.column(3))
+            back, given = [zlib.crc32(x) for x in as_bytes(batch.column(2))], batch.column(3).to_pylist()
             yield {"key": batch.column(0), "n_tokens": [len(x) for x in ids], "ids_crc32": [zlib.crc32(x.tobytes()) for x in ids],
-                   "text_crc32": [zlib.crc32(x) for x in back], "same_text": [a == b for a, b in zip(back, given, strict=True)]}
+                   "text_crc32": back, "same_text": [a == b for a, b in zip(back, given, strict=True)]}
 
     arrow = pa.schema([*[(n, pa.int64()) for n in ("key", "n_tokens", "ids_crc32", "text_crc32")], ("same_text", pa.bool_())])
-    narrow = decoded.select(F.col(key).cast("long").alias("key"), "ids", "decoded", F.col(text).cast("string").alias("text"))
+    narrow = decoded.select(F.col(key).cast("long").alias("key"), "ids", "decoded", F.col(crc).cast("long").alias("crc"))
     return map_arrow(narrow, "key long, n_tokens long, ids_crc32 long, text_crc32 long, same_text boolean", arrow, rows).withColumnRenamed("key", key)
