@@ -9,6 +9,10 @@ fingerprints are tabled, pairs whose tables differ by more than ``r`` in any coo
 are verified. A cell sends a spanning tree of what it linked, not its pairs. Components follow by passing on the
 smallest label and jumping along labels; every round is written to the shared folder.
 
+The pipeline's stage keeps one document of each class of five-word Jaccard similarity of 0.8 or more. No radius of a
+fingerprint finds all such pairs, so candidates come from a filter that misses none (:func:`prefixes`), and a pair is
+counted from both shingle sets.
+
 Edge cases: a null or empty text has fingerprint zero, which links like any other; null keys take part but never name
 a component unless all its keys are null (then the name is null); repeated rows are returned as often as they occur;
 an empty table gives an empty result; other columns are not read.
@@ -31,20 +35,29 @@ from llm.common import as_bytes, map_arrow, materialize
 PIVOTS = np.array(list(accumulate(range(32), lambda x, _: (x * 6364136223846793005 + 1442695040888963407) % 2**64,
                                   initial=42))[1:], dtype=np.uint64)
 
+#: Buckets that order shingles from rare to common.
+COMMON_BUCKETS = 1 << 21
 
-def fingerprint(raw: bytes, shingle: int = 4, seed: int = 42) -> int:
-    """Signed 64-bit fingerprint of one text."""
+
+def shingle_hashes(raw: bytes, shingle: int, seed: int) -> list[int]:
+    """XXH64 of every run of ``shingle`` words; a shorter text is one shingle."""
     words = raw.lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     ends = list(accumulate(words, lambda at, w: at + 1 + len(w), initial=-1))[1:]
     starts = [0, *[e + 1 for e in ends[:-1]]]
     digest = xxhash.xxh64_intdigest
     if len(words) < shingle:
-        hashes = [digest(joined, seed)]
-    else:
-        hashes = [digest(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1:], strict=False)]
+        return [digest(joined, seed)]
+    return [digest(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1:], strict=False)]
+
+
+def fingerprint(raw: bytes, shingle: int = 4, seed: int = 42) -> int:
+    """Signed 64-bit fingerprint of one text."""
+    hashes = shingle_hashes(raw, shingle, seed)
+    if not hashes:
+        return 0
     total = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[i:i + (1 << 16)], dtype="<u8")
@@ -208,10 +221,118 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         F.col("doc").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first_doc").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5, distance: int = 6) -> DataFrame:
-    """``docs`` with one document of each class: the one of smallest key. Of rows equal in key and text one stays."""
-    prints = materialize(fingerprints(docs, key=key, text=text, shingle=shingle), "fingerprints")
-    kept = materialize(classes(prints, distance).select(F.col("first_row").alias("kept_row")).distinct(), "kept")
+def shingle_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5, seed: int = 42) -> DataFrame:
+    """``doc``, ``row`` (of :func:`row_id`), ``hashes`` (distinct shingles' XXH64) and ``id``, a digest of them, of every row."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        for batch in batches:
+            sets = [np.unique(np.array(shingle_hashes(x, shingle, seed), dtype="<u8")) for x in as_bytes(batch.column(2))]
+            yield {"doc": batch.column(0), "row": batch.column(1), "hashes": [x.view("<i8") for x in sets],
+                   "id": np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], dtype=np.uint64).view(np.int64)}
+
+    narrow = docs.select(F.col(key).cast("long").alias("doc"), row_id(key, text).alias("row"), F.col(text).cast("string").alias("text"))
+    arrow = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("hashes", pa.list_(pa.int64())), ("id", pa.int64())])
+    return map_arrow(narrow, "doc long, row long, hashes array<long>, id long", arrow, rows)
+
+
+def common_shingles(sets: DataFrame, buckets: int = COMMON_BUCKETS) -> np.ndarray:
+    """How often shingles of each hash bucket occur: a table of fixed size that only orders shingles, rare ones first."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        total = np.zeros(buckets, np.int64)
+        for batch in batches:
+            values = batch.column(0).flatten().to_numpy()
+            total += np.bincount(values.view(np.uint64) % np.uint64(buckets), minlength=buckets)
+        used = np.flatnonzero(total > 1)
+        for i in range(0, len(used), 100_000):
+            part = used[i:i + 100_000]
+            yield {"bucket": part, "n": total[part]}
+
+    counted = map_arrow(sets.select("hashes"), "bucket long, n long", pa.schema([("bucket", pa.int64()), ("n", pa.int64())]), rows)
+    got = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(buckets, np.int64)
+    out[got["bucket"].to_numpy()] = got["n"].to_numpy()
+    return out
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """``cell, id, n, at``: the rarest shingles of each set, one of which any set that is similar enough shares.
+
+    Of ``n`` shingles ``ceil(4 n / 5)`` at least are shared, so the first ``n - ceil(4 n / 5) + 1`` in an order common to
+    all sets hold a shared one. Any order is right; one that puts common shingles last makes cells small.
+    """
+    order = sets.sparkSession.sparkContext.broadcast(common_shingles(sets))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        for batch in batches:
+            cells, ids, sizes, places = [], [], [], []
+            for i, values in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
+                hashes = values.values.to_numpy()
+                n = len(hashes)
+                if not n:
+                    continue
+                often = order.value[hashes.view(np.uint64) % np.uint64(len(order.value))]
+                first = hashes[np.lexsort((hashes, often))[:n - (4 * n + 4) // 5 + 1]]
+                cells.append(first)
+                ids.append(np.full(len(first), i))
+                sizes.append(np.full(len(first), n))
+                places.append(np.arange(len(first)))
+            if cells:
+                yield {"cell": np.concatenate(cells), "id": np.concatenate(ids), "n": np.concatenate(sizes).astype(np.int32),
+                       "at": np.concatenate(places).astype(np.int32)}
+
+    arrow = pa.schema([("cell", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
+    return map_arrow(sets.select("id", "hashes"), "cell long, id long, n int, at int", arrow, rows)
+
+
+def similar(sets: DataFrame, *, stars: int = 2) -> DataFrame:
+    """Pairs ``a, b`` of ``id`` whose components are those of all pairs with Jaccard similarity of 0.8 or more.
+
+    Rows of a cell meet the cell's leader first, which ties families together; then rows that are still apart meet
+    each other. A pair's similarity is counted exactly from both sets. Pairs whose sizes or places in the order leave too
+    few shingles to share are not compared: the cell of their first shared shingle would have said so.
+    """
+    cells = materialize(prefixes(sets), "prefixes")
+    many = cells.groupBy("cell").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("cell").alias("of"))
+    cells = materialize(cells.join(many, F.col("cell") == F.col("of")).drop("of"), "shared-prefixes")
+    found = None
+    labelled = cells.withColumn("label", F.col("id"))
+    for turn in range(stars + 1):
+        if found is not None:
+            labels = materialize(components(found), "similar-labels")
+            labelled = cells.join(labels, F.col("id") == F.col("node"), "left").select("cell", "id", "n", "at", F.coalesce("label", "id").alias("label"))
+            apart = labelled.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(
+                F.col("cell").alias("of"))
+            labelled = materialize(labelled.join(apart, F.col("cell") == F.col("of")).drop("of"), "apart")
+        if turn < stars:
+            other = labelled.groupBy("cell").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "at", "label")).alias("s")).select(
+                "cell", F.col("s.id").alias("id2"), F.col("s.n").alias("n2"), F.col("s.at").alias("at2"), F.col("s.label").alias("label2"))
+        else:
+            other = labelled.select("cell", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("label").alias("label2"))
+        possible = 9 * F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) >= 4 * (F.col("n") + F.col("n2"))
+        apart = F.col("label") != F.col("label2") if turn < stars else F.col("label") < F.col("label2")
+        pairs = labelled.join(other, "cell").where(apart & possible).select(
+            F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+        one, two = (sets.select(F.col("id").alias(n), F.col("hashes").alias(h)) for n, h in (("a", "own"), ("b", "theirs")))
+        shared = F.size(F.array_intersect("own", "theirs"))
+        true = pairs.join(one, "a").join(two, "b").where(9 * shared >= 4 * (F.size("own") + F.size("theirs"))).select("a", "b")
+        found = materialize(true if found is None else found.union(true), "similar")
+    return found
+
+
+def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
+    """``docs`` with one document of each class: the one of smallest key. Of rows equal in key and text one stays.
+
+    Classes are what pairs with Jaccard similarity of 0.8 or more, over distinct shingles, connect. Texts without words
+    are one class.
+    """
+    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
+    made = materialize(shingle_sets(docs, key=key, text=text, shingle=shingle), "shingles")
+    first = materialize(made.groupBy("id").agg(F.min(order).alias("first")), "first")
+    named = first.select(F.col("id").alias("own_id"), "first")
+    sets = materialize(made.join(named, (F.col("id") == F.col("own_id")) & F.col("doc").eqNullSafe(F.col("first.doc")) & (
+        F.col("row") == F.col("first.row"))).select("id", "hashes").dropDuplicates(["id"]), "sets")
+    labels = components(similar(sets))
+    least = first.join(labels, F.col("id") == F.col("node"), "left").groupBy(F.coalesce("label", "id").alias("label")).agg(F.min("first").alias("least"))
+    kept = materialize(least.select(F.col("least.row").alias("kept_row")).distinct(), "kept")
     columns = {c: f"__in_{i}" for i, c in enumerate(docs.columns)}
     own = docs.withColumnsRenamed(columns).withColumn("row", row_id(columns[key], columns[text]))
     found = own.join(kept, F.col("row") == F.col("kept_row"), "left_semi")

@@ -130,6 +130,43 @@ def test_one_document_of_each_group_stays(tricky, nothing):
     assert simhash.keep_one(nothing).count() == 0
 
 
+def jaccard_groups_by_hand(texts):
+    """Component of every text by comparing all pairs' five-word shingles, at 0.8."""
+    sets = []
+    for text in texts:
+        words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        sets.append({tuple(words[i:i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set()))
+    label = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if 5 * len(a & b) >= 4 * len(a | b) and label[i] != label[j]:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def test_near_duplicates_are_those_of_all_jaccard_pairs(spark, small_folder):
+    """Copies with a growing number of changed words, around 0.8, and a family; also the given texts."""
+    made, pick = [], np.random.default_rng(3)
+    for i in range(40):
+        words = prose(7000 + i, 60 + 7 * i).split()
+        made.append(" ".join(words))
+        for changes in range(1, 6):
+            other = list(words)
+            for at in pick.choice(len(words), min(len(words), changes * max(1, len(words) // 120)), replace=False):
+                other[at] = f"changed{at}"
+            made.append(" ".join(other))
+    base = prose(8000, 300).split()
+    made += [" ".join(f"w{i}" if j == 7 * i % 300 else w for j, w in enumerate(base)) for i in range(60)]
+    texts = made + [r.text for r in given(spark, small_folder, "documents").orderBy("doc_id").limit(300).collect()]
+    label = jaccard_groups_by_hand(texts)
+    want = {label.index(x) for x in label}
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in simhash.keep_one(table).collect()} == want
+    assert 40 < len(want) < len(texts)
+
+
 def test_chunks_do_not_shift():
     text = prose(7, 3000).encode()
     for cut in (0, 5, 700, 7001):
