@@ -1,9 +1,10 @@
 """Substring deduplication by content-defined chunking with a gear rolling hash.
 
 A gear hash over the last bytes picks chunk borders among the starts of words, so borders depend on nearby content
-only and an insertion shifts no border beyond itself. Chunks are known by a 64-bit digest; the first occurrence (by
-document, then place) of a digest stays. A passage goes if a run of chunks that all occurred before holds at least
-``min_words`` words; shorter runs are common phrases and stay, and so would a single digest that met another by chance.
+only and an insertion shifts no border beyond itself. A *window* is a run of neighboring chunks that just holds
+``min_words`` words: the shortest such run from every chunk on, and up to every chunk. Windows are known by a 64-bit
+digest; the first occurrence (by document, then place) of a window stays, later ones go unless they overlap it. So a
+passage goes if it stood as such before, and common phrases that were seen apart stay.
 
 Edge cases: a null or empty text has no chunks; null keys come first; rows equal in key and text count as one and are
 treated alike; an empty table gives an empty result; the names of other columns do not matter. A run of characters
@@ -31,6 +32,8 @@ MEAN_WORDS = 4
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _SLICE = 2_000_000
+_BASE = np.uint64(6364136223846793005 | 1)
+_INVERSE = np.uint64(pow(6364136223846793005, -1, 2**64))
 
 
 class Chunks:
@@ -77,11 +80,31 @@ class Chunks:
         return of + number, edges - begins[of], ends - begins[of], words, digests.view(np.int64)
 
 
+def windows(found: Chunks, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First chunk, end (exclusive) and digest of every window, those that hold ``min_words`` words and no chunk too many at one end."""
+    n = len(found.text)
+    until = np.searchsorted(found.text, found.text, side="right")
+    since = np.searchsorted(found.text, found.text, side="left")
+    held = np.concatenate([[0], np.cumsum(found.words)])
+    at = np.arange(n)
+    end = np.searchsorted(held, held[:-1] + min_words, side="left")
+    begin = np.searchsorted(held, held[1:] - min_words, side="right") - 1
+    on, back = end <= until, begin >= since
+    both = np.unique(np.concatenate([at[on] * (n + 1) + end[on], begin[back] * (n + 1) + at[back] + 1]))
+    first, end = both // (n + 1), both % (n + 1)
+    # A polynomial in the chunks' digests: the odd base has an inverse, so a window's value does not depend on its place.
+    powers = np.cumprod(np.full(n + 1, _BASE, dtype=np.uint64))
+    inverse = np.cumprod(np.full(n + 1, _INVERSE, dtype=np.uint64))
+    summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(found.digest.view(np.uint64) * powers[:n])])
+    digest = (summed[end] - summed[first]) * inverse[first] + (end - first).astype(np.uint64) * _INVERSE
+    return first, end, digest.view(np.int64)
+
+
 def find_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: dict[str, Column] | None = None,
                  min_words: int = 20, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
     """The columns of ``carry``, then ``n_chunks, n_seen_chunks, n_words, n_removed_words, removed, kept_text``.
 
-    ``removed`` are the spans in code points (``start:end``, comma-joined); ``kept_text`` is the rest.
+    A seen chunk is one of a window that occurred before. ``removed`` are the spans in code points (``start:end``, comma-joined); ``kept_text`` is the rest.
     """
     carry = carry or {key: F.col(key)}
     carried = [f"__c{i}" for i in range(len(carry))]
@@ -89,9 +112,11 @@ def find_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ca
 
     def asked(table: pa.Table) -> pa.Table:
         found = Chunks(as_bytes(table[BODY]))
-        doc = table[KEY].to_numpy()[found.text] if len(found.text) else found.text
-        order = np.lexsort((found.start, doc, found.digest))
-        digest, doc, start = found.digest[order], doc[order], found.start[order]
+        first, _, digest = windows(found, min_words)
+        start = found.start[first]
+        doc = table[KEY].to_numpy()[found.text[first]] if len(first) else first
+        order = np.lexsort((start, doc, digest))
+        digest, doc, start = digest[order], doc[order], start[order]
         new = np.append(True, digest[1:] != digest[:-1]) if len(digest) else np.zeros(0, bool)
         at = np.flatnonzero(new)
         # rows equal in key and text are one occurrence
@@ -111,12 +136,16 @@ def find_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ca
         doc = texts[KEY].to_numpy()
         order = np.argsort(known["digest"].to_numpy(), kind="stable")
         digest = known["digest"].to_numpy()[order]
-        place = np.minimum(np.searchsorted(digest, found.digest), max(0, len(digest) - 1))
-        if len(digest):
+        first, end, own = windows(found, min_words)
+        place = np.minimum(np.searchsorted(digest, own), max(0, len(digest) - 1))
+        step = np.zeros(len(found.text) + 1, np.int64)
+        if len(digest) and len(own):
             first_doc, first_start = known["doc"].to_numpy()[order][place], known["start"].to_numpy()[order][place]
-            seen = (digest[place] == found.digest) & ((first_doc != doc[found.text]) | (first_start != found.start))
-        else:
-            seen = np.zeros(len(found.digest), bool)
+            over = found.start[first] - first_start >= found.end[end - 1] - found.start[first]  # in one text the first ended before
+            again = (digest[place] == own) & ((first_doc != doc[found.text[first]]) | over)
+            np.add.at(step, first[again], 1)
+            np.add.at(step, end[again], -1)
+        seen = np.cumsum(step)[:-1] > 0
         border = np.searchsorted(found.text, np.arange(len(raw) + 1))
         out: dict[str, list[object]] = {n: [] for n in ("n_chunks", "n_seen_chunks", "n_words", "n_removed_words", "removed", "kept_text")}
         for i, body in enumerate(raw):
@@ -126,9 +155,7 @@ def find_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ca
             if old.any():
                 step = np.diff(np.concatenate([[0], old.astype(np.int8), [0]]))
                 for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True):
-                    words = int(found.words[lo + a:lo + b].sum())
-                    if words >= min_words:
-                        spans.append((int(found.start[lo + a]), int(found.end[lo + b - 1]), words))
+                    spans.append((int(found.start[lo + a]), int(found.end[lo + b - 1]), int(found.words[lo + a:lo + b].sum())))
             kept, told, at, chars = [], [], 0, 0
             for start, end, _ in spans:
                 kept.append(body[at:start])

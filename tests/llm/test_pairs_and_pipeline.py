@@ -208,6 +208,24 @@ def test_passages_go_and_clean_texts_stay(spark, tricky, nothing):
     assert chunks.find_repeats(nothing).count() == 0 and chunks.remove_repeats(nothing).count() == 0
 
 
+def test_phrases_seen_apart_stay(spark):
+    """A text put together from other texts' chunks stays; one that copies a stretch of theirs loses it to the last chunk."""
+    sources = [prose(3000 + i, 200) for i in range(12)]
+    parts = []
+    for text in sources:
+        cut = chunks.Chunks([text.encode()])
+        parts.append([text.encode()[a:b].decode() for a, b in zip(cut.start, cut.end, strict=True)])
+    mixed = "".join(parts[i % 12][3 + i // 12] for i in range(48))
+    inside = chunks.Chunks([sources[0].encode()])
+    stretch = "".join(parts[0][5:5 + int(np.searchsorted(np.cumsum(inside.words[5:]), 23)) + 1])
+    copied = prose(3100, 40) + "\n" + stretch + prose(3101, 40)
+    table = spark.createDataFrame([*enumerate(sources), (20, mixed), (21, copied)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in chunks.find_repeats(table).collect()}
+    assert all(rows[i].removed == "" for i in [*range(12), 20])
+    (a, b), = [tuple(map(int, x.split(":"))) for x in rows[21].removed.split(",")]
+    assert copied[a:b].strip() in stretch and len(copied[a:b].split()) >= 20
+
+
 def test_pipeline_stages(spark, small_folder, tricky, nothing):
     for docs in (given(spark, small_folder, "documents"), tricky, nothing):
         start = docs.count()
