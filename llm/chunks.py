@@ -2,13 +2,14 @@
 
 A gear hash over the last bytes picks chunk borders among the starts of words, so borders depend on nearby content
 only and an insertion shifts no border beyond itself. A *window* is a run of neighboring chunks that just holds
-``min_words`` words: the shortest such run from every chunk on, and up to every chunk. Windows are known by a 64-bit
+``min_words`` words, or ``CHARS_A_WORD`` times as many code points where words are long: the shortest such run from every chunk on, and up to every chunk. Windows are known by a 64-bit
 digest; the first occurrence (by document, then place) of a window stays, later ones go unless they overlap it. So a
 passage goes if it stood as such before, and common phrases that were seen apart stay.
 
 Edge cases: a null or empty text has no chunks; null keys come first; rows equal in key and text count as one and are
 treated alike; an empty table gives an empty result; the names of other columns do not matter. A run of characters
-without space is cut after 64 bytes by the hash alone, so texts without spaces are chunked as well.
+without space is cut after 64 bytes by the hash alone, so texts without spaces are chunked
+as well, and their passages count by code points.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ WINDOW = 16
 #: Gear values: outputs of a linear congruential generator, 0 for the byte that separates texts.
 GEAR = np.array([0, *list(accumulate(range(255), lambda x, _: (x * 1664525 + 1013904223) % 2**32, initial=12345))[1:]], dtype=np.uint32)
 MEAN_WORDS = 4
+#: Code points that stand for a word where few spaces are: more than a word and its space take on average.
+CHARS_A_WORD = 8
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _SLICE = 2_000_000
@@ -37,7 +40,7 @@ _INVERSE = np.uint64(pow(6364136223846793005, -1, 2**64))
 
 
 class Chunks:
-    """Chunks of several texts: text number, first byte, end, words and digest, in order."""
+    """Chunks of several texts: text number, first byte, end, words, code points and digest, in order."""
 
     def __init__(self, texts: list[bytes]) -> None:
         parts: list[tuple[np.ndarray, ...]] = []
@@ -49,8 +52,8 @@ class Chunks:
                 last += 1
             parts.append(self._cut(texts[first:last], first))
             first = last
-        names = ("text", "start", "end", "words", "digest")
-        kinds = (np.int64, np.int64, np.int64, np.int64, np.int64)
+        names = ("text", "start", "end", "words", "chars", "digest")
+        kinds = (np.int64, np.int64, np.int64, np.int64, np.int64, np.int64)
         for i, (name, kind) in enumerate(zip(names, kinds, strict=True)):
             setattr(self, name, np.concatenate([p[i] for p in parts]).astype(kind) if parts else np.zeros(0, kind))
 
@@ -75,20 +78,24 @@ class Chunks:
         of = np.searchsorted(begins, edges, side="right") - 1
         ends = np.minimum(np.append(edges[1:], len(b)), begins[of] + sizes[of])
         words = np.searchsorted(starts, ends) - np.searchsorted(starts, edges)
+        points = np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80)])
+        chars = points[ends] - points[edges]
         digest = xxhash.xxh3_64_intdigest
         digests = np.array([digest(joined[i:j].rstrip()) for i, j in zip(edges.tolist(), ends.tolist(), strict=True)], dtype=np.uint64)
-        return of + number, edges - begins[of], ends - begins[of], words, digests.view(np.int64)
+        return of + number, edges - begins[of], ends - begins[of], words, chars, digests.view(np.int64)
 
 
 def windows(found: Chunks, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First chunk, end (exclusive) and digest of every window, those that hold ``min_words`` words and no chunk too many at one end."""
+    """First chunk, end (exclusive) and digest of every window, those that hold enough words or code points and no chunk too many at one end."""
     n = len(found.text)
     until = np.searchsorted(found.text, found.text, side="right")
     since = np.searchsorted(found.text, found.text, side="left")
-    held = np.concatenate([[0], np.cumsum(found.words)])
     at = np.arange(n)
-    end = np.searchsorted(held, held[:-1] + min_words, side="left")
-    begin = np.searchsorted(held, held[1:] - min_words, side="right") - 1
+    end, begin = np.full(n, n + 1), np.full(n, -1)
+    for sizes, least in ((found.words, min_words), (found.chars, CHARS_A_WORD * min_words)):
+        held = np.concatenate([[0], np.cumsum(sizes)])
+        end = np.minimum(end, np.searchsorted(held, held[:-1] + least, side="left"))
+        begin = np.maximum(begin, np.searchsorted(held, held[1:] - least, side="right") - 1)
     on, back = end <= until, begin >= since
     both = np.unique(np.concatenate([at[on] * (n + 1) + end[on], begin[back] * (n + 1) + at[back] + 1]))
     first, end = both // (n + 1), both % (n + 1)
@@ -178,10 +185,10 @@ def find_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ca
 
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_words: int = 20) -> DataFrame:
-    """``docs`` with repeated passages cut out of ``text``; documents of which no word is left go, untouched ones stay."""
+    """``docs`` with repeated passages cut out of ``text``; documents of which no word or part of one is left go, untouched ones stay."""
     columns = {f"__in_{i}": F.col(c) for i, c in enumerate(docs.columns)}
     done = find_repeats(docs, key=key, text=text, carry=columns, min_words=min_words)
-    cut = F.col("n_removed_words") > 0
+    cut = F.col("removed") != ""
     out = [F.when(cut, F.col("kept_text")).otherwise(F.col(f"__in_{i}")).alias(c) if c == text else F.col(f"__in_{i}").alias(c)
            for i, c in enumerate(docs.columns)]
-    return done.where(~cut | (F.col("n_words") > F.col("n_removed_words"))).select(*out)
+    return done.where(~cut | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")).select(*out)

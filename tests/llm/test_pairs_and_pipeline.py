@@ -226,6 +226,23 @@ def test_phrases_seen_apart_stay(spark):
     assert copied[a:b].strip() in stretch and len(copied[a:b].split()) >= 20
 
 
+def test_texts_without_spaces_are_deduplicated(spark):
+    """Copies go whole; a passage inside one long run goes but for the chunks at its ends, and what is around it stays."""
+    pick = np.random.default_rng(11)
+    run = lambda n: "".join(chr(0x4E00 + int(x)) for x in pick.integers(0, 3000, n))
+    one, passage, short = run(900), run(900), run(60)
+    docs = [(0, one), (1, one), (2, run(400) + passage + run(400)), (3, run(500) + passage + run(300)), (4, short), (5, short), (6, run(700))]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r.doc_id: r for r in chunks.find_repeats(table).collect()}
+    assert [rows[i].removed for i in (0, 2, 4, 5, 6)] == [""] * 5 and rows[1].kept_text == ""
+    (a, b), = [tuple(map(int, x.split(":"))) for x in rows[3].removed.split(",")]
+    assert 500 <= a < b <= 1400 and b - a >= 600
+    kept = {r.doc_id: r.text for r in chunks.remove_repeats(table).collect()}
+    assert sorted(kept) == [0, 2, 3, 4, 5, 6] and kept[3] == docs[3][1][:a] + docs[3][1][b:]
+    ascii_run = "".join(chr(97 + int(x)) for x in pick.integers(0, 26, 3000))
+    assert [r.removed for r in chunks.find_repeats(spark.createDataFrame([(0, ascii_run), (1, ascii_run)], table.schema)).orderBy("doc_id").collect()] == ["", "0:3000"]
+
+
 def test_pipeline_stages(spark, small_folder, tricky, nothing):
     for docs in (given(spark, small_folder, "documents"), tricky, nothing):
         start = docs.count()
