@@ -20,7 +20,7 @@ an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -221,78 +221,99 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         F.col("doc").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first_doc").alias("component_id"))
 
 
-def shingle_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5, seed: int = 42) -> DataFrame:
-    """``doc``, ``row`` (of :func:`row_id`), ``hashes`` (distinct shingles' XXH64) and ``id``, a digest of them, of every row."""
+def shingled(docs: DataFrame, made: Callable[[Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]], Iterable[dict[str, object]]],
+             arrow: pa.Schema, schema: str, *, shingle: int, seed: int = 42) -> DataFrame:
+    """``made`` over batches of ``doc, row, text`` and their texts' distinct shingle hashes. The sets are several times the
+    texts' size, so they are made anew where they are needed and not stored."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
-        for batch in batches:
-            sets = [np.unique(np.array(shingle_hashes(x, shingle, seed), dtype="<u8")) for x in as_bytes(batch.column(2))]
-            yield {"doc": batch.column(0), "row": batch.column(1), "hashes": [x.view("<i8") for x in sets],
-                   "id": np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], dtype=np.uint64).view(np.int64)}
+        return made((x, [np.unique(np.array(shingle_hashes(t, shingle, seed), dtype="<u8")) for t in as_bytes(x.column(2))]) for x in batches)
 
-    narrow = docs.select(F.col(key).cast("long").alias("doc"), row_id(key, text).alias("row"), F.col(text).cast("string").alias("text"))
-    arrow = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("hashes", pa.list_(pa.int64())), ("id", pa.int64())])
-    return map_arrow(narrow, "doc long, row long, hashes array<long>, id long", arrow, rows)
+    return map_arrow(docs, schema, arrow, rows)
 
 
-def common_shingles(sets: DataFrame, buckets: int = COMMON_BUCKETS) -> np.ndarray:
-    """How often shingles of each hash bucket occur: a table of fixed size that only orders shingles, rare ones first."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
-        total = np.zeros(buckets, np.int64)
-        for batch in batches:
-            values = batch.column(0).flatten().to_numpy()
-            total += np.bincount(values.view(np.uint64) % np.uint64(buckets), minlength=buckets)
-        used = np.flatnonzero(total > 1)
-        for i in range(0, len(used), 100_000):
-            part = used[i:i + 100_000]
-            yield {"bucket": part, "n": total[part]}
+def set_ids(sets: list[np.ndarray]) -> np.ndarray:
+    """A digest of each set."""
+    return np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], dtype=np.uint64).view(np.int64)
+
 
-    counted = map_arrow(sets.select("hashes"), "bucket long, n long", pa.schema([("bucket", pa.int64()), ("n", pa.int64())]), rows)
+def bucket_counts(counted: DataFrame, buckets: int) -> np.ndarray:
+    """``bucket, n`` added up in a table of fixed size."""
     got = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(buckets, np.int64)
     out[got["bucket"].to_numpy()] = got["n"].to_numpy()
     return out
 
 
-def prefixes(sets: DataFrame) -> DataFrame:
+def common_shingles(docs: DataFrame, *, shingle: int, buckets: int = COMMON_BUCKETS) -> np.ndarray:
+    """How often shingles of each hash bucket occur in an eighth of the texts. It only orders shingles, rare ones first; any
+    order gives the same result."""
+    def made(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
+        total = np.zeros(buckets, np.int64)
+        for _, sets in batches:
+            if sets:
+                total += np.bincount((np.concatenate(sets) % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+        used = np.flatnonzero(total > 1)
+        for i in range(0, len(used), 100_000):
+            yield {"bucket": used[i:i + 100_000], "n": total[used[i:i + 100_000]]}
+
+    arrow = pa.schema([("bucket", pa.int64()), ("n", pa.int64())])
+    eighth = docs.where(F.pmod("row", F.lit(8)) == 0)
+    return bucket_counts(shingled(eighth, made, arrow, "bucket long, n long", shingle=shingle), buckets)
+
+
+def prefixes(docs: DataFrame, *, shingle: int) -> DataFrame:
     """``cell, id, n, at``: the rarest shingles of each set, one of which any set that is similar enough shares.
 
     Of ``n`` shingles ``ceil(4 n / 5)`` at least are shared, so the first ``n - ceil(4 n / 5) + 1`` in an order common to
     all sets hold a shared one. Any order is right; one that puts common shingles last makes cells small.
     """
-    order = sets.sparkSession.sparkContext.broadcast(common_shingles(sets))
+    order = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle=shingle))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
-        for batch in batches:
+    def made(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
+        for _, sets in batches:
             cells, ids, sizes, places = [], [], [], []
-            for i, values in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
-                hashes = values.values.to_numpy()
+            for i, hashes in zip(set_ids(sets), sets, strict=True):
                 n = len(hashes)
-                if not n:
-                    continue
-                often = order.value[hashes.view(np.uint64) % np.uint64(len(order.value))]
-                first = hashes[np.lexsort((hashes, often))[:n - (4 * n + 4) // 5 + 1]]
+                often = order.value[(hashes % np.uint64(len(order.value))).astype(np.int64)]
+                first = hashes[np.lexsort((hashes, often))[:n - (4 * n + 4) // 5 + 1]] if n else hashes
                 cells.append(first)
                 ids.append(np.full(len(first), i))
                 sizes.append(np.full(len(first), n))
                 places.append(np.arange(len(first)))
             if cells:
-                yield {"cell": np.concatenate(cells), "id": np.concatenate(ids), "n": np.concatenate(sizes).astype(np.int32),
+                yield {"cell": np.concatenate(cells).astype("<u8").view(np.int64), "id": np.concatenate(ids), "n": np.concatenate(sizes).astype(np.int32),
                        "at": np.concatenate(places).astype(np.int32)}
 
     arrow = pa.schema([("cell", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
-    return map_arrow(sets.select("id", "hashes"), "cell long, id long, n int, at int", arrow, rows)
+    return shingled(docs, made, arrow, "cell long, id long, n int, at int", shingle=shingle)
+
 
+def sets_of(docs: DataFrame, ids: DataFrame, *, shingle: int, buckets: int = COMMON_BUCKETS) -> DataFrame:
+    """``id`` and ``hashes`` of the sets of ``ids`` and of few others (those that meet them in a bucket); a task tells each once."""
+    wanted = docs.sparkSession.sparkContext.broadcast(bucket_counts(
+        ids.select(F.pmod("id", F.lit(buckets)).alias("bucket"), F.lit(1).alias("n")).distinct(), buckets) > 0)
 
-def similar(sets: DataFrame, *, stars: int = 2) -> DataFrame:
+    def made(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
+        told: set[int] = set()
+        for _, sets in batches:
+            own = set_ids(sets)
+            new = [i for i, x in enumerate(own.tolist()) if wanted.value[x % buckets] and not (x in told or told.add(x))]
+            yield {"id": own[new], "hashes": [sets[i].view("<i8") for i in new]}
+
+    arrow = pa.schema([("id", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+    return shingled(docs, made, arrow, "id long, hashes array<long>", shingle=shingle)
+
+
+def similar(docs: DataFrame, *, shingle: int, stars: int = 2) -> DataFrame:
     """Pairs ``a, b`` of ``id`` whose components are those of all pairs with Jaccard similarity of 0.8 or more.
 
     Rows of a cell meet the cell's leader first, which ties families together; then rows that are still apart meet
     each other. A pair's similarity is counted exactly from both sets. Pairs whose sizes or places in the order leave too
     few shingles to share are not compared: the cell of their first shared shingle would have said so.
     """
-    cells = materialize(prefixes(sets), "prefixes")
-    many = cells.groupBy("cell").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("cell").alias("of"))
-    cells = materialize(cells.join(many, F.col("cell") == F.col("of")).drop("of"), "shared-prefixes")
+    cells = materialize(prefixes(docs, shingle=shingle), "prefixes")
+    many = cells.groupBy("cell").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select(F.col("cell").alias("of"))
+    cells = materialize(cells.join(many, F.col("cell") == F.col("of")).drop("of").distinct(), "shared-prefixes")
     found = None
     labelled = cells.withColumn("label", F.col("id"))
     for turn in range(stars + 1):
@@ -309,8 +330,10 @@ def similar(sets: DataFrame, *, stars: int = 2) -> DataFrame:
             other = labelled.select("cell", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("label").alias("label2"))
         possible = 9 * F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) >= 4 * (F.col("n") + F.col("n2"))
         apart = F.col("label") != F.col("label2") if turn < stars else F.col("label") < F.col("label2")
-        pairs = labelled.join(other, "cell").where(apart & possible).select(
-            F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+        pairs = materialize(labelled.join(other, "cell").where(apart & possible).select(
+            F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct(), "pairs")
+        named = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+        sets = materialize(sets_of(docs, named, shingle=shingle).dropDuplicates(["id"]), "sets")
         one, two = (sets.select(F.col("id").alias(n), F.col("hashes").alias(h)) for n, h in (("a", "own"), ("b", "theirs")))
         shared = F.size(F.array_intersect("own", "theirs"))
         true = pairs.join(one, "a").join(two, "b").where(9 * shared >= 4 * (F.size("own") + F.size("theirs"))).select("a", "b")
@@ -324,13 +347,16 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingl
     Classes are what pairs with Jaccard similarity of 0.8 or more, over distinct shingles, connect. Texts without words
     are one class.
     """
+    def identified(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
+        for batch, sets in batches:
+            yield {"doc": batch.column(0), "row": batch.column(1), "id": set_ids(sets)}
+
+    narrow = docs.select(F.col(key).cast("long").alias("doc"), row_id(key, text).alias("row"), F.col(text).cast("string").alias("text"))
+    arrow = pa.schema([(n, pa.int64()) for n in ("doc", "row", "id")])
     order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
-    made = materialize(shingle_sets(docs, key=key, text=text, shingle=shingle), "shingles")
-    first = materialize(made.groupBy("id").agg(F.min(order).alias("first")), "first")
-    named = first.select(F.col("id").alias("own_id"), "first")
-    sets = materialize(made.join(named, (F.col("id") == F.col("own_id")) & F.col("doc").eqNullSafe(F.col("first.doc")) & (
-        F.col("row") == F.col("first.row"))).select("id", "hashes").dropDuplicates(["id"]), "sets")
-    labels = components(similar(sets))
+    first = materialize(shingled(narrow, identified, arrow, "doc long, row long, id long", shingle=shingle).groupBy("id").agg(
+        F.min(order).alias("first")), "first")
+    labels = components(similar(narrow, shingle=shingle))
     least = first.join(labels, F.col("id") == F.col("node"), "left").groupBy(F.coalesce("label", "id").alias("label")).agg(F.min("first").alias("least"))
     kept = materialize(least.select(F.col("least.row").alias("kept_row")).distinct(), "kept")
     columns = {c: f"__in_{i}" for i, c in enumerate(docs.columns)}
