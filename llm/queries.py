@@ -94,9 +94,18 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(given(spark, folder, "documents"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from llm.manifest import manifest
+
+    return manifest(given(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from llm.manifest import manifest_sql
+
+    return {"op11_merkle_manifest": manifest_sql()}
