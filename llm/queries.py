@@ -101,6 +101,13 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest(given(spark, folder, "documents"))
 
 
+@query
+def op12_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    from llm.secrets import scan_secrets
+
+    return scan_secrets(given(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
