@@ -108,11 +108,19 @@ def op12_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(given(spark, folder, "documents"))
 
 
+@query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from llm.trie import trie
+
+    return trie(given(spark, folder, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     from llm.manifest import manifest_sql
+    from llm.trie import trie_sql
 
-    return {"op11_merkle_manifest": manifest_sql()}
+    return {"op11_merkle_manifest": manifest_sql(), "op13_conversation_trie": trie_sql()}
