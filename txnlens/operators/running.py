@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from txnlens.session import materialize
 
-#: Rows of one stretch; the number of partitions follows from it.
+#: Most rows of one stretch; the number of partitions follows from it.
 ROWS_PER_STRETCH = 500_000
+#: Smaller tables get as many stretches as the session has shuffle partitions, but none of fewer rows than this.
+LEAST_ROWS = 20_000
 
 
 def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], sums: dict[str, Column], *,
@@ -37,7 +39,9 @@ def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str | Colu
     """
     if not group:
         raise ValueError("running_sums needs a group column; use a constant for one group")
-    stretches = max(1, -(-(df.count() if n_rows is None else n_rows) // rows_per_stretch))
+    rows = df.count() if n_rows is None else n_rows
+    spread = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // LEAST_ROWS)
+    stretches = max(1, spread, -(-rows // rows_per_stretch))
     keys = [*group, *order, "__tie"]
     sorted_rows = (
         df.select("*", *[c.alias(n) for n, c in sums.items()], F.monotonically_increasing_id().alias("__tie"))
