@@ -135,15 +135,103 @@ def test_linear_attribution(matrix):
     assert got == pytest.approx({n: c * (x - m) for n, c, x, m in zip(NAMES, [1.0, 0.0, -2.0, 3.0], row, means, strict=True)})
 
 
-def test_sampled_attribution_adds_up_and_agrees_with_a_linear_margin(matrix):
-    boosted = GBTClassifier(maxIter=3, maxDepth=2, seed=1, labelCol="class").fit(training.as_vectors(matrix))
-    rows, background = matrix.where("id < 10"), matrix.where("id >= 250 AND id < 251")
-    values = at.sampled_attribution(rows, background, boosted, NAMES, key="id", background_key="id", permutations=8)
-    totals = {r["id"]: r["t"] for r in values.groupBy("id").agg(F.sum("phi").alias("t")).collect()}
-    scores = {r["id"]: r["score"] for r in training.score_rows(boosted, matrix, name="m", key="id").collect()}
-    assert values.count() == 40
-    for i, total in totals.items():
-        assert total == pytest.approx(scores[i] - scores[250], abs=1e-9)
+EIGHT = [f"g{j}" for j in range(8)]
+
+
+@pytest.fixture(scope="module")
+def eight(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(400):
+        x = [rng.gauss(0, 1) for _ in range(6)] + [float(rng.random() < 0.4), float(rng.random() < 0.2)]
+        rows.append((i, int(x[0] + x[1] * x[6] - x[2] + rng.gauss(0, 0.5) > 0.8), x))
+    return spark.createDataFrame(rows, "id long, class int, features array<double>").cache()
+
+
+@pytest.fixture(scope="module")
+def boosted(eight):
+    return GBTClassifier(maxIter=6, maxDepth=5, stepSize=0.3, seed=1, labelCol="class").fit(training.as_vectors(eight))
+
+
+def brute_shapley(value, x, background):
+    """Shapley values over all subsets, missing features from every background row in turn."""
+    width = len(x)
+    games = {}
+    for bits in range(1 << width):
+        on = np.array([bits >> j & 1 == 1 for j in range(width)])
+        games[bits] = float(np.mean(value(np.where(on, x, background))))
+    phi = np.zeros(width)
+    for j in range(width):
+        for bits in (b for b in games if not b >> j & 1):
+            s = bits.bit_count()
+            phi[j] += math.factorial(s) * math.factorial(width - s - 1) / math.factorial(width) * (games[bits | 1 << j] - games[bits])
+    return phi, games[0]
+
+
+def test_boosted_attribution_is_shapley_over_the_whole_background(eight, boosted):
+    rows, background = eight.where("id < 4"), eight.where("id >= 200 AND id < 240")
+    values, base = at.boosted_attribution(rows, background, boosted, EIGHT, key="id", scale="margin")
+    got = {(r["id"], r["feature"]): r["phi"] for r in values.collect()}
+    from pyspark.ml.linalg import Vectors
+    others = np.array([r["features"] for r in background.collect()])
+    seen = {}
+
+    def margins(points):
+        for p in map(tuple, points):
+            if p not in seen:
+                seen[p] = boosted.predictRaw(Vectors.dense(p))[1]
+        return [seen[tuple(p)] for p in points]
+
+    for r in rows.where("id < 2").collect():
+        want, ground = brute_shapley(margins, np.array(r["features"]), others[:6])
+        few, few_base = at.boosted_attribution(rows.where(F.col("id") == r["id"]), background.where("id < 206"), boosted, EIGHT,
+                                               key="id", scale="margin")
+        phi = {x["feature"]: x["phi"] for x in few.collect()}
+        assert few_base == pytest.approx(ground, abs=1e-9)
+        assert [phi[n] for n in EIGHT] == pytest.approx(list(want), abs=1e-9)
+    for r in rows.collect():
+        assert base + sum(got[r["id"], n] for n in EIGHT) == pytest.approx(margins([r["features"]])[0], abs=1e-9)
+
+
+@pytest.mark.parametrize("kind", ["boosted", "sampled"])
+def test_attributions_add_up_to_the_probability(eight, boosted, kind):
+    rows, background = eight.where("id < 12"), eight.where("id >= 200 AND id < 230")
+    scores = {r["id"]: r["score"] for r in training.score_rows(boosted, eight, name="m", key="id").collect()}
+    if kind == "boosted":
+        values, base = at.boosted_attribution(rows, background, boosted, EIGHT, key="id")
+        assert base == pytest.approx(np.mean([scores[i] for i in range(200, 230)]), abs=1e-9)
+    else:
+        values = at.sampled_attribution(rows, background, boosted, EIGHT, key="id", permutations=2)
+        base = np.mean([scores[i] for i in range(200, 230)])
+    assert values.count() == 12 * 8
+    for r in values.groupBy("id").agg(F.sum("phi").alias("t")).collect():
+        assert base + r["t"] == pytest.approx(scores[r["id"]], abs=1e-9)
+
+
+def test_sampled_attribution_comes_close_to_shapley(matrix):
+    """Drawn orders and their reverses over the whole background, against all subsets."""
+    from pyspark.ml.classification import LogisticRegression as Linear
+    model = Linear(labelCol="class").fit(training.as_vectors(matrix))
+    background = matrix.where("id >= 250 AND id < 265")
+    values = at.sampled_attribution(matrix.where("id < 3"), background, model, NAMES, key="id", permutations=24)
+    from pyspark.ml.linalg import Vectors
+    others = np.array([r["features"] for r in background.collect()])
+    for r in matrix.where("id < 3").collect():
+        want, _ = brute_shapley(lambda ps: [model.predictProbability(Vectors.dense(p))[1] for p in ps], np.array(r["features"]), others)
+        got = {x["feature"]: x["phi"] for x in values.where(F.col("id") == r["id"]).collect()}
+        assert [got[n] for n in NAMES] == pytest.approx(list(want), abs=0.03)
+
+
+def test_equal_rows_get_nothing(eight, boosted):
+    rows = eight.where("id = 1")
+    values = at.sampled_attribution(rows, rows, boosted, EIGHT, key="id", permutations=1)
+    assert [r["phi"] for r in values.collect()] == [0.0] * 8
+    exact, _ = at.boosted_attribution(rows, rows, boosted, EIGHT, key="id")
+    assert [r["phi"] for r in exact.collect()] == pytest.approx([0.0] * 8)
+    with pytest.raises(ValueError, match="background"):
+        at.boosted_attribution(rows, rows.where("id < 0"), boosted, EIGHT, key="id")
+    with pytest.raises(ValueError, match="scale"):
+        at.boosted_attribution(rows, rows, boosted, EIGHT, key="id", scale="odds")
 
 
 def test_ranking_and_waterfall(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,7 +128,7 @@ def save_report(result: ModelingResult, folder: str, *, top_n: int = 20, format:
 
 def explain(trained: TrainedModel, prepared: PreparedData, *, background_rows: int = at.BACKGROUND_ROWS,
             explained_rows: int = at.EXPLAINED_ROWS, top_n: int = 10, seed: int = 42,
-            permutations: int = 20) -> AttributionResult:
+            permutations: int = 10) -> AttributionResult:
     """Attributions by model kind, their ranking, one strong case and the top feature's dependence."""
     key, names = prepared.key, prepared.encoder.names
     background, rows = at.sample_pair(prepared.train, prepared.test, key=key, background_rows=background_rows,
@@ -154,7 +154,7 @@ def attribution_job(engineered: DataFrame, folder: str, *, result: ModelingResul
 
 
 def attribute(model, rows: DataFrame, background: DataFrame, names: Sequence[str], *, key: str,
-              permutations: int = 20, seed: int = 42) -> tuple[DataFrame, float | None]:
+              permutations: int = 10, seed: int = 42) -> tuple[DataFrame, float | None]:
     """(attributions, expected score) by the method that fits the model."""
     if isinstance(model, RandomForestClassificationModel):
         return at.tree_attribution(rows, model, names, key=key)
@@ -163,7 +163,8 @@ def attribute(model, rows: DataFrame, background: DataFrame, names: Sequence[str
         coefficients = [float(c) for c in model.coefficients.toArray()]
         base = float(model.intercept) + sum(c * m for c, m in zip(coefficients, means, strict=True))
         return at.linear_attribution(rows, coefficients, means, names, key=key), base
+    if isinstance(model, GBTClassificationModel):
+        return at.boosted_attribution(rows, background, model, names, key=key)
     scored = model.transform(as_vectors(background))
     base = scored.agg(F.avg(at.positive_score(scored))).first()[0]
-    return at.sampled_attribution(rows, background, model, names, key=key, background_key=key,
-                                  permutations=permutations, seed=seed), base
+    return at.sampled_attribution(rows, background, model, names, key=key, permutations=permutations, seed=seed), base
