@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from txnlens.operators import encoding
 from txnlens.operators.encoding import FeatureConfig, fit_encoder
 from txnlens.plans import modeling, preparation
 from txnlens.sources import readers, standins, writers
@@ -117,6 +118,33 @@ def test_encoder(spark):
         fit_encoder(df, FeatureConfig(numeric=("x",), categorical=("q",)))
 
 
+@pytest.mark.parametrize("joins", ["broadcast", "hot and cold"])
+def test_sparse_encoder_equals_the_dense_one(spark, joins, monkeypatch):
+    rows = [(i, float(i % 7) if i % 11 else None, "hot" if i % 3 else f"v{i % 50}", None if i % 5 == 0 else f"k{i % 4}", i % 2) for i in range(300)]
+    schema = "id long, x double, c string, d string, class int"
+    df, config = spark.createDataFrame(rows, schema), FeatureConfig(numeric=("x",), categorical=("c", "d"))
+    if joins != "broadcast":
+        monkeypatch.setattr(encoding, "BROADCAST_CATEGORIES", 3)
+        monkeypatch.setattr(encoding, "HOT_ROWS", 50)
+        monkeypatch.setattr(encoding, "HOT_SHARE", 10)
+    dense, sparse = fit_encoder(df, config), encoding.fit_sparse_encoder(df, config)
+    assert sparse.width == len(dense.names)
+    assert [r["feature"] for r in sparse.feature_table().orderBy("position").collect()] == dense.names
+    later = df.unionByName(spark.createDataFrame([(1000, 1.0, "new", None, 1), (1001, None, None, "k1", 0)], schema))
+    want = {r["id"]: list(r)[2:] for r in dense.wide(later, keep=["id"]).collect()}
+    got = {r["id"]: r["features"] for r in sparse.vectors(later, keep=["id"]).collect()}
+    assert got.keys() == want.keys()
+    for i, v in got.items():
+        assert list(v.toArray()) == pytest.approx([x or 0.0 for x in want[i]]) and (v.indices == sorted(v.indices)).all()
+    cells = sparse.long(later, keep=["id"])
+    assert cells.where("value = 0").count() == 0 and cells.count() == sum(1 for v in want.values() for x in v if x)
+    from pyspark.ml.classification import LogisticRegression
+    assert LogisticRegression(labelCol="class", maxIter=3).fit(sparse.vectors(df)).numFeatures == sparse.width
+    monkeypatch.setattr(encoding, "MOST_COLUMNS", 10)
+    with pytest.raises(ValueError, match="sparse"):
+        fit_encoder(df, config)
+
+
 def test_modeling_job(spark, raw_folder, tmp_path):
     engineered = preparation.engineer(preparation.load_base(spark, raw_folder), order_key="user_id")
     result = modeling.run_modeling(

@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def build_session(app_name: str = "txnlens", *, master: str | None = None,
@@ -69,11 +70,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         del _HANDED_OUT[before:]
 
 
-def materialize(df: DataFrame, label: str = "step", *, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Cut lineage by writing ``df`` to the shared folder and reading it back.
+def materialize(df: DataFrame, label: str = "step", *, partition_by: Sequence[str] = (),
+                read_as: T.StructType | None = None) -> DataFrame:
+    """Cut lineage by writing ``df`` to the shared folder and reading it back, with another schema of equal layout if wanted.
 
     The files outlive the executors that wrote them, unlike cached blocks.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(read_as or df.schema).parquet(path)
