@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from txnlens.operators import ranking
+from txnlens.operators import ranking, running
 
 SCHEMA = "model_name string, y int, score double"
 
@@ -32,11 +32,11 @@ def brute(rows, model):
     return auc / (positives * negatives), ap / positives
 
 
-@pytest.mark.parametrize("buckets", [None, 2, 16, 256])
-def test_auc_and_average_precision(spark, buckets):
+@pytest.mark.parametrize("sizes", [{}, {"window_rows": 0}, {"window_rows": 0, "rows_per_stretch": 60}])
+def test_auc_and_average_precision(spark, sizes):
     rows = data()
     table = {r["model_name"]: (r["roc_auc"], r["pr_auc"])
-             for r in ranking.ranking_metrics(spark.createDataFrame(rows, SCHEMA), buckets=buckets).collect()}
+             for r in ranking.ranking_metrics(spark.createDataFrame(rows, SCHEMA), **sizes).collect()}
     for model in ("coarse", "fine"):
         assert table[model] == pytest.approx(brute(rows, model))
 
@@ -47,10 +47,23 @@ def test_average_precision_is_a_step_sum(spark):
     assert got == pytest.approx(brute(rows, "m")[1])
 
 
-def test_two_level_sums_equal_one_window(spark, rows):
-    df = spark.createDataFrame(data(2), SCHEMA)
+def test_running_sums_equal_one_window(spark, rows):
+    df = spark.createDataFrame(data(2) + [(None, 1, 0.5), (None, 0, 0.25)], SCHEMA)
     order = ["model_name", "score", "positives", "rows", "tp", "flagged", "total_positives", "total_rows"]
-    assert rows(ranking.score_steps(df, buckets=8).select(order)) == rows(ranking.score_steps(df, buckets=None).select(order))
+    assert rows(ranking.score_steps(df, window_rows=0, rows_per_stretch=50).select(order)) == rows(ranking.score_steps(df).select(order))
+
+
+def test_ten_times_the_scores_take_ten_times_the_stretches(spark, monkeypatch):
+    """One model: the rows a task stay alike, whatever the table's size."""
+    seen = []
+    keep = running.materialize
+    monkeypatch.setattr(running, "materialize", lambda df, label, **b: seen.append(keep(df, label, **b)) or seen[-1])
+    largest = []
+    for n in (3_000, 30_000):
+        df = spark.range(n).selectExpr("'m' AS model_name", "cast(id % 3 = 0 AS int) AS y", "id / 7.0 AS score")
+        assert ranking.score_steps(df, window_rows=0, rows_per_stretch=1_000).count() == n
+        largest.append(max(r["count"] for r in seen[-1].groupBy("__part").count().collect()))
+    assert largest[1] < 2 * largest[0] and largest[1] < 3_000
 
 
 def test_threshold_metrics(spark):

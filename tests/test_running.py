@@ -54,3 +54,15 @@ def test_empty_and_no_group(spark):
     assert running_sums(df, ["g"], ["t"], {"n": F.lit(1).cast("long")}).count() == 0
     with pytest.raises(ValueError):
         running_sums(df, [], ["t"], {"n": F.lit(1).cast("long")})
+
+
+@pytest.mark.parametrize("stretch", [60, 100_000])
+def test_latest_value_before_the_row(spark, stretch):
+    rows = [(f"g{i % 3}" if i % 2 else "hot", i, i if i % 5 == 0 and i > 40 else None, 0.0) for i in range(1500)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = running_sums(df, ["g"], ["t"], {"n": F.lit(1).cast("long")}, latest={"last": F.col("v")}, rows_per_stretch=stretch)
+    seen, want = {}, {}
+    for g, t, v, _ in rows:
+        want[t] = seen.get(g)
+        seen[g] = v if v is not None else seen.get(g)
+    assert {r.t: r["last"] for r in got.collect()} == want

@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from txnlens.operators import running
 from txnlens.operators.velocity import add_velocity
 
 START = dt.datetime(2024, 1, 1)
@@ -39,8 +40,7 @@ def make(seed, n=400, users=7):
 
 
 @pytest.mark.parametrize("options", [
-    {}, {"hot_rows": None}, {"hot_rows": 1, "chunk_seconds": 60}, {"hot_rows": 1, "chunk_seconds": 7200},
-    {"hot_rows": 60, "chunk_seconds": 3600}])
+    {}, {"hot_rows": None}, {"hot_rows": 1}, {"hot_rows": 1, "rows_per_stretch": 150}, {"hot_rows": 60, "rows_per_stretch": 40}])
 @pytest.mark.parametrize("as_of_row", [False, True])
 def test_against_brute_force(spark, options, as_of_row):
     events = make(3)
@@ -52,6 +52,21 @@ def test_against_brute_force(spark, options, as_of_row):
         assert table[key] == pytest.approx(values, abs=1e-9), key
 
 
+@pytest.mark.parametrize("stretch", [37, 1000])
+def test_a_burst_in_one_instant_splits(spark, stretch, monkeypatch):
+    """Half of all rows are one user's in one second; no stretch takes much more than its share of rows."""
+    events = make(5, n=300) + [(1000 + i, 0, START + dt.timedelta(hours=5)) for i in range(300)]
+    seen = []
+    keep = running.materialize
+    monkeypatch.setattr(running, "materialize", lambda df, label, **b: seen.append(keep(df, label, **b)) or seen[-1])
+    got = add_velocity(spark.createDataFrame(events, SCHEMA), hot_rows=1, rows_per_stretch=stretch)
+    want = brute(events)
+    table = {r["event_id"]: tuple(r[c] for c in COLUMNS) for r in got.collect()}
+    for k, values in want.items():
+        assert table[k] == pytest.approx(values, abs=1e-9), k
+    assert max(r["count"] for r in seen[-1].groupBy("__part").count().collect()) < 4 * stretch
+
+
 def test_three_purchases(spark):
     df = spark.createDataFrame([(1, 1, START), (2, 1, START + dt.timedelta(days=1)), (3, 1, START + dt.timedelta(days=2))], SCHEMA)
     table = add_velocity(df).orderBy("event_id").collect()

@@ -1,9 +1,9 @@
 """Ranking metrics over scores: average precision, ROC-AUC and the curves behind them.
 
 Everything starts from one table with a row per distinct score and the running counts down to
-it. Rows with equal scores collapse in the first aggregation. The running counts then come in
-two levels: scores are cut into buckets at sketched quantiles, bucket totals give each bucket
-its starting count, and a window inside each bucket adds the rest. No task sees a whole model.
+it. Rows with equal scores collapse in the first aggregation. Beyond ``WINDOW_ROWS`` distinct
+scores the running counts come from a range partition by (model, score) whose stretches carry
+the totals of the earlier ones, so their number follows the rows and no task sees a whole model.
 """
 
 from __future__ import annotations
@@ -14,54 +14,38 @@ from pyspark.sql import functions as F
 
 from txnlens.functions.checks import require_columns
 from txnlens.functions.numbers import ratio, ratio_or_zero
+from txnlens.operators.running import ROWS_PER_STRETCH, running_sums
+from txnlens.session import materialize
 
-SCORE_BUCKETS = 256
+#: Up to so many distinct scores of all models, one window a model is enough.
+WINDOW_ROWS = 200_000
 CONFUSION = ("true_positives", "false_positives", "false_negatives", "true_negatives")
 
 
 def score_steps(df: DataFrame, *, label: str = "y", score: str = "score", model: str = "model_name",
-                buckets: int | None = SCORE_BUCKETS) -> DataFrame:
+                window_rows: int = WINDOW_ROWS, rows_per_stretch: int = ROWS_PER_STRETCH) -> DataFrame:
     """Per model and distinct score, from the highest score down.
 
     ``positives``/``rows`` at the score, ``tp``/``flagged`` at or above it, and the model's
-    ``total_positives``/``total_rows``. ``buckets=None`` uses one window per model.
+    ``total_positives``/``total_rows``.
     """
     require_columns(df, [label, score, model])
-    steps = (
+    steps = materialize(
         df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
         .groupBy(F.col(model).alias("model_name"), F.col(score).cast("double").alias("score"))
-        .agg(F.sum(F.col(label).cast("long")).alias("positives"), F.count("*").alias("rows"))
-    )
-    sums = {"tp": "positives", "flagged": "rows"}
+        .agg(F.sum(F.col(label).cast("long")).alias("positives"), F.count("*").alias("rows")), "score-steps")
+    sums = {"tp": F.col("positives"), "flagged": F.col("rows")}
     totals = {"total_positives": "positives", "total_rows": "rows"}
-    if buckets is None:
+    n = steps.count()
+    if n <= window_rows:
         per_model = W.partitionBy("model_name")
         down = per_model.orderBy(F.col("score").desc())
-        return steps.select("*", *[F.sum(c).over(down).alias(n) for n, c in sums.items()],
-                            *[F.sum(c).over(per_model).alias(n) for n, c in totals.items()])
-    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    edges = steps.groupBy("model_name").agg(F.percentile_approx("score", grid, 16 * buckets).alias("edges"))
-    above = F.size(F.filter("edges", lambda e: e > F.col("score")))
-    bucketed = steps.join(edges, "model_name").withColumn("bucket", above).drop("edges")
-    per_model = W.partitionBy("model_name")
-    earlier = per_model.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    # At most ``buckets`` rows per model.
-    starts = (
-        bucketed.groupBy("model_name", "bucket").agg(F.sum("positives").alias("p"), F.sum("rows").alias("n"))
-        .select("model_name", "bucket",
-                F.coalesce(F.sum("p").over(earlier), F.lit(0)).alias("p_before"),
-                F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
-                F.sum("p").over(per_model).alias("total_positives"),
-                F.sum("n").over(per_model).alias("total_rows"))
-    )
-    down = W.partitionBy("model_name", "bucket").orderBy(F.col("score").desc())
-    return (
-        bucketed.withColumns({n: F.sum(c).over(down) for n, c in sums.items()})
-        .join(starts, ["model_name", "bucket"])
-        .select("model_name", "score", "positives", "rows",
-                (F.col("tp") + F.col("p_before")).alias("tp"),
-                (F.col("flagged") + F.col("n_before")).alias("flagged"), *totals)
-    )
+        return steps.select("*", *[F.sum(c).over(down).alias(name) for name, c in sums.items()],
+                            *[F.sum(c).over(per_model).alias(name) for name, c in totals.items()])
+    running = running_sums(steps, ["model_name"], [F.col("score").desc()], sums, n_rows=n, rows_per_stretch=rows_per_stretch, label="score-sums")
+    whole = steps.groupBy("model_name").agg(*[F.sum(c).alias(name) for name, c in totals.items()])
+    return running.alias("r").join(whole.alias("w"), F.col("r.model_name").eqNullSafe(F.col("w.model_name"))).select(
+        "r.*", *[F.col(f"w.{name}") for name in totals])
 
 
 def ranking_metrics(df: DataFrame, **columns) -> DataFrame:

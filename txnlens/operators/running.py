@@ -31,12 +31,14 @@ LEAST_ROWS = 20_000
 
 
 def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], sums: dict[str, Column], *,
-                 n_rows: int | None = None, rows_per_stretch: int = ROWS_PER_STRETCH, label: str = "running") -> DataFrame:
+                 latest: dict[str, Column] | None = None, n_rows: int | None = None,
+                 rows_per_stretch: int = ROWS_PER_STRETCH, label: str = "running") -> DataFrame:
     """``df`` with, for every name of ``sums``, the sum of its column over the group's rows up to and with this one.
 
-    ``order`` takes names and sort expressions. Rows with equal order come in any order, each with its own running
-    value. ``n_rows`` spares a count.
+    ``latest`` adds the last value that is not null in the group's rows before this one. ``order`` takes names and sort
+    expressions. Rows with equal order come in any order, each with its own running value. ``n_rows`` spares a count.
     """
+    latest = latest or {}
     if not group:
         raise ValueError("running_sums needs a group column; use a constant for one group")
     rows = df.count() if n_rows is None else n_rows
@@ -44,27 +46,31 @@ def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str | Colu
     stretches = max(1, spread, -(-rows // rows_per_stretch))
     keys = [*group, *order, "__tie"]
     sorted_rows = (
-        df.select("*", *[c.alias(n) for n, c in sums.items()], F.monotonically_increasing_id().alias("__tie"))
+        df.select("*", *[c.alias(n) for n, c in sums.items()], *[c.alias(n) for n, c in latest.items()],
+                  *[c.alias(f"__own_{n}") for n, c in latest.items()], F.monotonically_increasing_id().alias("__tie"))
         .repartitionByRange(stretches, *keys).sortWithinPartitions(*keys).drop("__tie")
         .select("*", F.spark_partition_id().alias("__part"), F.lit(1).cast("long").alias("__count"), F.lit(False).alias("__first")))
     totals = [*sums, "__count"]
-    local = materialize(sorted_rows.mapInArrow(_within_stretch(tuple(group), tuple(totals)), sorted_rows.schema), label)
-    earlier = _earlier_totals(local, list(group), totals)
+    local = materialize(sorted_rows.mapInArrow(_within_stretch(tuple(group), tuple(totals), tuple(latest)), sorted_rows.schema), label)
+    earlier = _earlier_totals(local, list(group), totals, list(latest))
     here = [F.col(f"l.{c}").eqNullSafe(F.col(f"e.{c}")) for c in [*group, "__part"]]
     joined = local.alias("l").join(F.broadcast(earlier.alias("e")), _all(here), "left")
     return joined.select(*[F.col(f"l.{c}") for c in df.columns],
-                         *[(F.col(f"l.{n}") + F.coalesce(F.col(f"e.{n}"), F.lit(0))).alias(n) for n in sums])
+                         *[(F.col(f"l.{n}") + F.coalesce(F.col(f"e.{n}"), F.lit(0))).alias(n) for n in sums],
+                         *[F.coalesce(F.col(f"l.{n}"), F.col(f"e.{n}")).alias(n) for n in latest])
 
 
-def _earlier_totals(local: DataFrame, group: list[str], totals: list[str]) -> DataFrame:
+def _earlier_totals(local: DataFrame, group: list[str], totals: list[str], latest: list[str]) -> DataFrame:
     """What came before, for groups that go on from an earlier stretch; at most one row a partition."""
     opening = local.where("__first").select(*group).distinct()
     same = _all([F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}")) for c in group])
     of_stretch = (
         local.alias("l").join(F.broadcast(opening.alias("o")), same, "left_semi")
-        .groupBy(*group, "__part").agg(F.max_by(F.struct(*totals), "__count").alias("__last")))
+        .groupBy(*group, "__part").agg(F.max_by(F.struct(*totals), "__count").alias("__last"), *[
+            F.max_by(f"__own_{n}", F.when(F.col(f"__own_{n}").isNotNull(), F.col("__count"))).alias(n) for n in latest]))
     before = W.partitionBy(*group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
-    return of_stretch.select(*group, "__part", *[F.sum(f"__last.{n}").over(before).alias(n) for n in totals]).where(
+    return of_stretch.select(*group, "__part", *[F.sum(f"__last.{n}").over(before).alias(n) for n in totals],
+                             *[F.last(n, ignorenulls=True).over(before).alias(n) for n in latest]).where(
         F.col("__count").isNotNull())
 
 
@@ -75,7 +81,8 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def _within_stretch(group: tuple[str, ...], totals: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]:
+def _within_stretch(group: tuple[str, ...], totals: tuple[str, ...],
+                    latest: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple | None = None
         carry: dict[str, object] = {}
@@ -102,6 +109,19 @@ def _within_stretch(group: tuple[str, ...], totals: tuple[str, ...]) -> Callable
                 sums = sums - np.repeat(sums[starts] - values[starts], lengths)
                 carry[name] = sums[-1]
                 columns[name] = pa.array(sums, type=batch.schema.field(name).type)
+            for name in latest:
+                own = columns[f"__own_{name}"]
+                place = np.maximum.accumulate(np.where(own.is_valid().to_numpy(zero_copy_only=False), np.arange(n), -1))
+                before = np.append(-1, place[:-1])
+                start = np.repeat(starts, lengths)
+                values = own.take(pa.array(before, mask=before < start))
+                if not fresh[0]:
+                    carried = (before < 0) & (start == 0)
+                    values = pc.if_else(pa.array(carried), pa.scalar(carry[name], type=own.type), values)
+                columns[name] = values
+                # For the next batch: the last value of the group that the last row belongs to.
+                carry[name] = own[int(place[-1])].as_py() if place[-1] >= starts[-1] else (
+                    None if fresh[starts[-1]] else carry[name])
             columns["__first"] = pa.array(np.arange(n) == 0 if opening else np.zeros(n, dtype=bool))
             last = tuple(batch.column(c)[n - 1].as_py() for c in group)
             yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)

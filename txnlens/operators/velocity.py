@@ -2,9 +2,10 @@
 
 A user with an ordinary number of rows is one window partition: all features share one
 exchange and one sort. A hot user would put a third of the table into one task, so users
-above ``hot_rows`` go another way: their timeline is cut into short chunks, running counts
-inside the chunks are lifted by the totals of the earlier chunks, and a trailing count is
-the difference of two such running counts. Both ways give the same numbers.
+above ``hot_rows`` go another way: their timelines are cut into stretches of equally many rows,
+wherever that is, within a burst of one instant too; running counts carry the totals of
+earlier stretches, and a trailing count is the difference of two running counts. Both ways give
+the same numbers.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from txnlens.functions.checks import require_columns
 from txnlens.functions.clock import MICROS_PER_HOUR, epoch_micros
+from txnlens.operators.running import ROWS_PER_STRETCH, running_sums
 from txnlens.session import materialize
 
 DEFAULT_WINDOWS_HOURS = (1, 24, 168)
@@ -27,7 +29,7 @@ SHORTEST_ACTIVE_DAYS = 1.0 / 24.0
 def add_velocity(df: DataFrame, *, user_column: str = "user_id", time_column: str = "purchase_time",
                  order_key: str = "event_id", windows_hours: Iterable[int] = DEFAULT_WINDOWS_HOURS,
                  as_of_row: bool = False, hot_rows: int | None = 20_000_000,
-                 chunk_seconds: int = 60, count_users_in: DataFrame | None = None) -> DataFrame:
+                 rows_per_stretch: int = ROWS_PER_STRETCH, count_users_in: DataFrame | None = None) -> DataFrame:
     """Add gap to the previous purchase, running count, daily rate and trailing counts.
 
     ``order_key`` orders purchases of one instant; rows that share it follow in any order. A row
@@ -47,14 +49,14 @@ def add_velocity(df: DataFrame, *, user_column: str = "user_id", time_column: st
         hot_users = counted.where(F.col(user_column).isNotNull()).groupBy(user_column).count().where(
             F.col("count") > hot_rows).select(user_column)
         if not hot_users.isEmpty():
-            # Written once: the chunked way reads the hot rows several times.
+            # Written once: the hot rows are read several times.
             hot_users = F.broadcast(materialize(hot_users, "hot-users"))
             cold = timed.join(hot_users, user_column, "left_anti")
             # The row number, fixed once written, keeps rows apart that share an order key.
             hot = timed.join(hot_users, user_column, "left_semi").withColumn("_row", F.monotonically_increasing_id())
             hot = materialize(hot, "hot-rows")
             plain = _by_user_window(cold, user_column, order_key, windows).drop("_alone").unionByName(
-                _by_chunks(hot, user_column, order_key, windows, chunk_seconds * 1_000_000).drop("_row"))
+                _by_stretches(hot, user_column, order_key, windows, rows_per_stretch).drop("_row"))
     rate = _daily_rate(F.col("_index"), F.col("_first"), F.col("_at") if as_of_row else F.col("_last"))
     return plain.select(
         *df.columns,
@@ -99,53 +101,28 @@ def _by_user_window(timed: DataFrame, user: str, key: str, windows: list[int]) -
     )
 
 
-def _by_chunks(timed: DataFrame, user: str, key: str, windows: list[int], chunk: int) -> DataFrame:
-    """The columns of ``_by_user_window`` from running counts over (user, chunk) pieces.
+def _by_stretches(timed: DataFrame, user: str, key: str, windows: list[int], rows_per_stretch: int) -> DataFrame:
+    """The columns of ``_by_user_window`` from running counts.
 
-    Every row becomes one event point and one probe point per window, placed at the window's
-    start. Ordering probes before events of the same instant makes a probe's running count
-    "events strictly before the window". Rows without a time sort last and share a chunk.
+    Every row becomes its event, a point after all events of its instant, and a point before all events of each window's
+    first instant; the events counted at these points give its index, its ties and what lies before its windows. Rows
+    without a time sort last.
     """
     end_of_time = F.lit(2**62)
-    points = timed.select(
-        user, key, "_row",
-        F.explode(F.array(
-            F.struct(F.lit(1).alias("event"), F.lit(0).alias("hours"),
-                     F.coalesce("_at", end_of_time).alias("at")),
-            *[F.struct(F.lit(0).alias("event"), F.lit(h).alias("hours"),
-                       (F.col("_at") - h * MICROS_PER_HOUR).alias("at")) for h in windows],
-        )).alias("p"),
-    ).select(user, key, "_row", "p.*").where(F.col("at").isNotNull()).withColumn("chunk", F.floor(F.col("at") / chunk))
-
-    event_time = F.when((F.col("event") == 1) & (F.col("at") < end_of_time), F.col("at"))
-    # One row per user and chunk: bounded by the time span of the table over the chunk length.
-    earlier = W.partitionBy(user).orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    totals = (
-        points.groupBy(user, "chunk")
-        .agg(F.sum("event").alias("n"), F.max(event_time).alias("latest"))
-        .select(user, "chunk",
-                F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
-                F.max("latest").over(earlier).alias("latest_before"))
-    )
-    piece = W.partitionBy(user, "chunk")
-    ordered = piece.orderBy("at", "event", key, "_row")
-    running = points.select(
-        "*",
-        F.sum("event").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("upto"),
-        F.max(event_time).over(ordered.rowsBetween(W.unboundedPreceding, -1)).alias("previous"),
-    ).select(
-        "*",
-        F.sum("event").over(piece.orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow)).alias("with_ties"),
-    )
-    lifted = running.join(totals, [user, "chunk"])
-    is_event = F.col("event") == 1
-    counts = lifted.groupBy(user, "_row").agg(
-        F.max(F.when(is_event, F.col("before") + F.col("upto"))).alias("_index"),
-        F.max(F.when(is_event, F.col("before") + F.col("with_ties"))).alias("_reached"),
-        F.max(F.when(is_event, F.greatest("previous", "latest_before"))).alias("_previous"),
-        *[F.max(F.when(~is_event & (F.col("hours") == h), F.col("before") + F.col("upto"))).alias(f"_before_{h}")
-          for h in windows],
-    )
+    before, event, after = F.lit(0), F.lit(1), F.lit(2)
+    at = F.coalesce("_at", end_of_time)
+    points = timed.select(user, key, "_row", F.inline(F.array(
+        F.struct(at.alias("at"), event.alias("kind"), F.lit(0).alias("hours")), F.struct(at.alias("at"), after.alias("kind"), F.lit(0).alias("hours")),
+        *[F.struct((F.col("_at") - h * MICROS_PER_HOUR).alias("at"), before.alias("kind"), F.lit(h).alias("hours")) for h in windows],
+    ))).where(F.col("at").isNotNull())
+    is_event = F.col("kind") == 1
+    running = running_sums(
+        points, [user], ["at", "kind", key, "_row"], {"upto": is_event.cast("long")},
+        latest={"previous": F.when(is_event & (F.col("at") < end_of_time), F.col("at"))}, rows_per_stretch=rows_per_stretch, label="velocity")
+    counts = running.groupBy(user, "_row").agg(
+        F.max(F.when(is_event, F.col("upto"))).alias("_index"), F.max(F.when(is_event, F.col("previous"))).alias("_previous"),
+        F.max(F.when(F.col("kind") == 2, F.col("upto"))).alias("_reached"),
+        *[F.max(F.when((F.col("kind") == 0) & (F.col("hours") == h), F.col("upto"))).alias(f"_before_{h}") for h in windows])
     spans = timed.groupBy(user).agg(
         F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count("*").alias("_size"))
     return (
