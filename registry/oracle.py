@@ -275,6 +275,13 @@ SELECT event_id, {VELOCITY_COLUMNS}, txn_count_last_1h, txn_count_last_24h, txn_
         velocity("orders", "o_custkey", "o_orderdate", "o_orderkey", (24, 720, 8760), "last"), f"""
 SELECT o_orderkey, {VELOCITY_COLUMNS}, txn_count_last_24h, txn_count_last_720h, txn_count_last_8760h FROM velocity""")
     sql["velocity_hot_users"] = sql["velocity_txn"]
+    sql["velocity_burst"] = with_views(TXN + """,
+burst AS (
+  SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 1 ELSE user_id END AS user_id,
+         CASE WHEN event_id % 2 = 0 THEN timestamp '2024-01-05 12:00:00' + to_microseconds((event_id * 7919 % 10) * 100000)
+              ELSE purchase_time END AS purchase_time
+  FROM txn),""" + velocity("burst", "user_id", "purchase_time", "event_id", (1, 24, 168), "last"), f"""
+SELECT event_id, {VELOCITY_COLUMNS}, txn_count_last_1h, txn_count_last_24h, txn_count_last_168h FROM velocity""")
     sql["velocity_null_users"] = with_views(TXN + """,
 ownerless AS (SELECT *, CASE WHEN event_id % 5 = 0 THEN -1 - event_id ELSE user_id END AS owner FROM txn),""" + velocity(
         "ownerless", "owner", "purchase_time", "event_id", (1, 24, 168), "last"), f"""
@@ -485,6 +492,18 @@ SELECT event_id, cast(class AS bigint) AS class, """ + ", ".join(
 SELECT event_id, user_id, purchase_value, source, browser, sex, age, class, ip_address_int, country,
        round(time_since_signup_hours, 6) AS time_since_signup_hours, hour_of_day, day_of_week, {VELOCITY_COLUMNS},
        txn_count_last_1h, txn_count_last_24h, txn_count_last_168h FROM eng""")
+    identifiers = ("source", "browser", "device_id", "user_id")
+    sql["sparse_identifiers"] = with_views(TXN + """,
+vocabulary AS (
+  SELECT rank, value, row_number() OVER (ORDER BY rank, value) + 1 AS position FROM (""" + " UNION ".join(
+        f"SELECT {i} AS rank, cast({c} AS varchar) AS value FROM txn" for i, c in enumerate(identifiers)) + """) WHERE value IS NOT NULL),
+moments AS (SELECT avg(purchase_value) AS m0, stddev_pop(purchase_value) AS d0, avg(age) AS m1, stddev_pop(age) AS d1 FROM txn),
+cells AS (
+  SELECT event_id, 0 AS position, (purchase_value - m0) / CASE WHEN d0 = 0 THEN 1 ELSE d0 END AS value FROM txn, moments UNION ALL
+  SELECT event_id, 1, (age - m1) / CASE WHEN d1 = 0 THEN 1 ELSE d1 END FROM txn, moments UNION ALL """ + " UNION ALL ".join(
+        f"SELECT t.event_id, v.position, 1.0 FROM txn t JOIN vocabulary v ON v.rank = {i} AND v.value = cast(t.{c} AS varchar)"
+        for i, c in enumerate(identifiers)) + ")", """
+SELECT event_id, cast(position AS integer) AS position, round(value, 6) AS value FROM cells WHERE value <> 0""")
     sql["feature_matrix"] = with_views(ENGINEERED + "," + matrix(NUMERIC, CATEGORICAL, "eng"), """
 SELECT event_id, feature, round(value, 6) AS value FROM matrix""")
     sql["feature_labels"] = with_views(ENGINEERED + "," + matrix(NUMERIC, CATEGORICAL, "eng"), """
@@ -608,6 +627,12 @@ SELECT model_name, event_id, y, score FROM (
 SELECT t.event_id, cast(0 AS double) AS gap
 FROM (SELECT event_id, class, row_number() OVER (PARTITION BY class ORDER BY {digest("42", "event_id")}) AS n FROM txn) t
 JOIN want w ON t.class = w.class WHERE t.n > w.train_n""")
+    sql["boosted_shap_gap"] = with_views(TXN + "," + split_counts("txn") + f""",
+held AS (
+  SELECT t.event_id FROM (
+    SELECT event_id, class, row_number() OVER (PARTITION BY class ORDER BY {digest("42", "event_id")}) AS n FROM txn) t
+  JOIN want w ON t.class = w.class WHERE t.n > w.train_n)""", f"""
+SELECT event_id, cast(0 AS double) AS gap FROM held ORDER BY {digest("43", "event_id")} LIMIT 300""")
     sql["trained_holdout_counts"] = with_views(TXN + "," + split_counts("txn"), """
 SELECT 'logistic_regression' AS model_name, sum(n - train_n) FILTER (WHERE class = 1)::bigint AS fraud,
        sum(n - train_n) FILTER (WHERE class = 0)::bigint AS legit, max(train_n)::bigint AS train_fraud, max(train_n)::bigint AS train_legit FROM want""")

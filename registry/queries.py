@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,15 +158,26 @@ def velocity_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def velocity_hot_users(spark: SparkSession, folder: str) -> DataFrame:
-    """Users above 60 rows take the chunked way, the others the plain window."""
-    return _velocity(standins.transactions(spark, folder), "event_id", hot_rows=60, chunk_seconds=86_400)
+    """Users above 60 rows take the way by stretches, the others the plain window."""
+    return _velocity(standins.transactions(spark, folder), "event_id", hot_rows=60, rows_per_stretch=5_000)
 
 
 @query
 def velocity_null_users(spark: SparkSession, folder: str) -> DataFrame:
-    """Every fifth event has no user and stands alone; users above 60 rows take the chunked way."""
+    """Every fifth event has no user and stands alone; users above 60 rows take the way by stretches."""
     table = standins.transactions(spark, folder).withColumn("user_id", F.when(F.col("event_id") % 5 != 0, F.col("user_id")))
-    return _velocity(table, "event_id", hot_rows=60, chunk_seconds=86_400)
+    return _velocity(table, "event_id", hot_rows=60, rows_per_stretch=5_000)
+
+
+@query
+def velocity_burst(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of all events are one user's within one second, ten instants of it."""
+    moved = F.col("event_id") % 2 == 0
+    instant = F.expr("timestamp_ntz'2024-01-05 12:00:00' + make_dt_interval(0, 0, 0, cast(event_id * 7919 % 10 AS decimal(18, 6)) / 10)")
+    table = standins.transactions(spark, folder).withColumns({
+        "user_id": F.when(moved, F.lit(1)).otherwise(F.col("user_id")),
+        "purchase_time": F.when(moved, instant.cast("timestamp_ntz")).otherwise(F.col("purchase_time").cast("timestamp_ntz"))})
+    return _velocity(table, "event_id", hot_rows=60, rows_per_stretch=5_000)
 
 
 # Sources, names, types -------------------------------------------------------------------
@@ -535,6 +545,14 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     return encoder.wide(table, keep=["event_id"]).drop("age")
 
 
+@query
+def sparse_identifiers(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells that are not zero of a matrix with a column for every device and every user."""
+    table = standins.transactions(spark, folder)
+    config = encoding.FeatureConfig(numeric=("purchase_value", "age"), categorical=("source", "browser", "device_id", "user_id"))
+    return rounded(encoding.fit_sparse_encoder(table, config).long(table, keep=["event_id"]), 6, "value")
+
+
 @query
 def feature_labels(spark: SparkSession, folder: str) -> DataFrame:
     sizes = _long_matrix(spark, folder).groupBy("feature").agg(
@@ -733,24 +751,18 @@ def _prepared(spark: SparkSession, folder: str) -> modeling.PreparedData:
     return modeling.prepare(materialize(_engineered(spark, folder), "engineered"))
 
 
-def _forest(spark: SparkSession, folder: str) -> tuple[training.TrainedModel, modeling.PreparedData]:
+def _fitted(spark: SparkSession, folder: str, name: str) -> tuple[training.TrainedModel, modeling.PreparedData]:
+    """A default model fitted on the original train rows."""
     data = _prepared(spark, folder)
-    forest = RandomForestClassifier(numTrees=20, maxDepth=6, featureSubsetStrategy="sqrt", seed=42,
-                                    featuresCol="features", labelCol="class")
-    return training.train_model("random_forest", data.train, data.test, key="event_id", estimator=forest), data
+    return training.train_model(name, data.train, data.test, key="event_id"), data
 
 
 @query
 def train_compare(spark: SparkSession, folder: str) -> DataFrame:
     """Three model families on the oversampled train rows, compared on the whole holdout."""
     data = modeling.resample_train(_prepared(spark, folder))
-    train = data.train_resampled
-    forest = RandomForestClassifier(numTrees=20, maxDepth=6, seed=42, featuresCol="features", labelCol="class")
-    boosted = GBTClassifier(maxIter=10, maxDepth=4, stepSize=0.1, seed=42, featuresCol="features", labelCol="class")
-    fits = [training.train_model(name, train, data.prepared.test, key="event_id", estimator=estimator)
-            for name, estimator in (("logistic_regression", None), ("random_forest", forest),
-                                    ("gradient_boosted_trees", boosted))]
-    return training.compare_trained(fits)
+    return training.compare_trained(training.train_models(
+        training.MODEL_NAMES, data.train_resampled, data.prepared.test, key="event_id"))
 
 
 @query
@@ -763,7 +775,7 @@ def tune_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    forest, data = _forest(spark, folder)
+    forest, data = _fitted(spark, folder, "random_forest")
     return importance.labelled_features(importance.feature_importance(spark, forest.model, data.encoder.names))
 
 
@@ -778,7 +790,7 @@ def coefficient_extremes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def tree_shap(spark: SparkSession, folder: str) -> DataFrame:
     """Attributions of the whole holdout next to score and expected score."""
-    forest, data = _forest(spark, folder)
+    forest, data = _fitted(spark, folder, "random_forest")
     values, base = attribution.tree_attribution(data.test, forest.model, data.encoder.names, key="event_id")
     totals = values.groupBy("event_id").agg((F.sum("phi") + F.lit(base)).alias("explained"))
     return totals.join(forest.scores.select("event_id", "score"), "event_id")
@@ -810,16 +822,28 @@ def importance_facts(spark: SparkSession, folder: str) -> DataFrame:
     return table.groupBy("category").agg(F.count("*").alias("features")).withColumn("all_importance", F.lit(whole))
 
 
+def _boosted_pair(spark: SparkSession, folder: str) -> tuple[training.TrainedModel, list[str], DataFrame, DataFrame]:
+    """Default boosted trees, feature names, the background sample and the holdout rows to explain."""
+    fitted, data = _fitted(spark, folder, "gradient_boosted_trees")
+    background, rows = attribution.sample_pair(data.train, data.test, key="event_id")
+    return fitted, data.encoder.names, materialize(background, "background"), materialize(rows, "explained")
+
+
 @query
 def sampled_shap(spark: SparkSession, folder: str) -> DataFrame:
-    """Model-agnostic attributions of boosted trees, ranked."""
-    data = _prepared(spark, folder)
-    boosted = GBTClassifier(maxIter=5, maxDepth=3, seed=42, featuresCol="features", labelCol="class")
-    fitted = training.train_model("gradient_boosted_trees", data.train, data.test, key="event_id", estimator=boosted)
-    background, rows = attribution.sample_pair(data.train, data.test, key="event_id")
-    values = attribution.sampled_attribution(rows, background, fitted.model, data.encoder.names, key="event_id",
-                                             background_key="event_id", permutations=5)
-    return attribution.rank_features(values)
+    """Model-agnostic attributions of boosted trees over the whole background, ranked."""
+    fitted, names, background, rows = _boosted_pair(spark, folder)
+    return attribution.rank_features(attribution.sampled_attribution(rows, background, fitted.model, names, key="event_id", permutations=1))
+
+
+@query
+def boosted_shap_gap(spark: SparkSession, folder: str) -> DataFrame:
+    """Attributions of boosted trees over the whole background miss the explained rows' scores by nothing."""
+    fitted, names, background, rows = _boosted_pair(spark, folder)
+    values, base = attribution.boosted_attribution(rows, background, fitted.model, names, key="event_id")
+    totals = values.groupBy("event_id").agg((F.sum("phi") + F.lit(base)).alias("explained"))
+    return totals.join(fitted.scores.select("event_id", "score"), "event_id").select(
+        "event_id", F.round(F.abs(F.col("explained") - F.col("score")), 6).alias("gap"))
 
 
 def queries() -> dict[str, Query]:

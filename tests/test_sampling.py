@@ -1,9 +1,12 @@
+import math
 import hashlib
 import random
 
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from txnlens.operators import sampling, smote
 
 
@@ -83,6 +86,34 @@ def test_neighbors_are_exact(spark, block_rows, copies):
     assert {i: [n[r] for r in sorted(n)] for i, n in got.items()} == want
 
 
+def test_cells_are_bounded_and_rows_are_copied_by_the_root_of_their_number(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(4000, 3)))]
+    points = spark.createDataFrame(rows, "rep long, v array<double>").repartition(4)
+    cells = smote.pivot_cells(points, 60)
+    sizes = [r["count"] for r in cells.groupBy("cell").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 60 and len(sizes) >= 4000 / 60
+    # Unbounded reach: every tile meets every tile, and still no row is copied more often than there are tiles.
+    rows_, tiles = smote.tile_plan(cells.withColumn("far", F.lit(float("inf"))), 4000, 60)
+    n_tiles = rows_.select("tile").distinct().count()
+    assert tiles.count() == n_tiles ** 2 and n_tiles <= 2 * math.ceil(math.sqrt(len(sizes)))
+    assert rows_.join(tiles, "tile").groupBy("rep").count().agg(F.max("count")).first()[0] == n_tiles
+    # A short reach: tiles far apart do not meet.
+    line = spark.range(4000).select(F.col("id").alias("rep"), F.array(F.col("id").cast("double")).alias("v"))
+    rows_, near = smote.tile_plan(smote.pivot_cells(line, 60).withColumn("far", F.lit(5.0)), 4000, 60)
+    assert near.count() < 0.5 * rows_.select("tile").distinct().count() ** 2
+
+
+def test_cells_beyond_the_deepest_deal(spark, monkeypatch):
+    monkeypatch.setattr(smote, "DEEPEST", 1)
+    points = spark.createDataFrame([(i, [float(i)]) for i in range(900)], "rep long, v array<double>")
+    sizes = [r["count"] for r in smote.pivot_cells(points, 20).groupBy("cell").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) <= 30
+    got = {r["id"]: r["neighbor"] for r in smote.nearest_neighbors(
+        points.toDF("id", "features"), key="id", k=1, block_rows=20).collect()}
+    assert got == {i: i - 1 if i else 1 for i in range(900)}
+
+
 def test_smote_fills_up_the_minority_on_segments(spark):
     rng = random.Random(4)
     data = [(i, int(i >= 90), [rng.gauss(0, 1), rng.gauss(2 * (i >= 90), 1)]) for i in range(100)]
