@@ -53,6 +53,12 @@ def as_arrays(df: DataFrame, column: str = "features") -> DataFrame:
     return df.withColumn(column, vector_to_array(F.col(column)))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores where a small table would keep most of them idle."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def positive_score(df: DataFrame) -> Column:
     """Probability of class 1, else the margin."""
     for column in ("probability", "rawPrediction"):
@@ -85,7 +91,7 @@ def train_model(name: str, train: DataFrame, test: DataFrame, *, key: str, estim
     ``inverse_penalty`` sets the ridge penalty of a linear model relative to the rows it is fitted on.
     """
     require_columns(train, ["features", "class"])
-    data = as_vectors(train)
+    data = spread(as_vectors(train))
     if estimator is not None and inverse_penalty is not None:
         estimator = estimator.copy({estimator.getParam("regParam"): 1.0 / (inverse_penalty * max(data.count(), 1))})
     if estimator is None:
