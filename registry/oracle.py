@@ -463,6 +463,8 @@ SELECT count(*) AS transactions, cast(sum(class) AS bigint) AS fraud_cases, roun
 SELECT cast(count(*) AS bigint) AS observations, count(DISTINCT user_id) AS users, round(avg(class), 6) AS fraud_rate,
        cast(11 AS bigint) AS features FROM txn""")
     # Sampling.
+    sql["split_of_repeated_keys"] = with_views(TXN + "," + split_counts("txn"), """
+SELECT class, 'train' AS split, train_n AS n FROM want UNION ALL SELECT class, 'test', n - train_n FROM want""")
     sql["stratified_split"] = with_views(TXN + "," + split_counts("txn"), f"""
 SELECT t.event_id, t.class, CASE WHEN t.n <= train_n THEN 'train' ELSE 'test' END AS split
 FROM (SELECT event_id, class, row_number() OVER (PARTITION BY class ORDER BY {digest("42", "event_id")}) AS n FROM txn) t

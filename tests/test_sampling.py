@@ -54,6 +54,23 @@ def test_folds_are_even(spark):
     assert sorted(counts[1, f] for f in range(3)) == [3, 4, 4]
 
 
+def test_counts_are_exact_where_keys_repeat_or_are_missing(spark):
+    rows = [(7, c, f"r{i % 40}") for c, n in ((0, 300), (1, 60)) for i in range(n)] + [(None, i % 2, "n") for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, class int, note string").repartition(5)
+    sizes = {0: 325, 1: 85}
+    train, test = sampling.stratified_split(df, key="id")
+    assert sampling.class_sizes(train, "class") == sampling.train_counts(sizes, 0.2) and train.count() + test.count() == 410
+    assert sorted(map(repr, train.unionByName(test).collect())) == sorted(map(repr, df.collect()))
+    again = sampling.stratified_split(df.repartition(2), key="id")[0]
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, train.collect()))
+    assert sampling.seeded_sample(df, 123, key="id").count() == 123
+    assert sampling.class_sizes(sampling.undersample(df, key="id"), "class") == {0: 85, 1: 85}
+    folds = sampling.with_folds(df, key="id", folds=4)
+    assert folds.columns == ["id", "class", "note", "fold"]
+    counts = {(r["class"], r["fold"]): r["count"] for r in folds.groupBy("class", "fold").count().collect()}
+    assert all(abs(n - sizes[c] / 4) < 1 for (c, _), n in counts.items()) and len(counts) == 8
+
+
 def test_dense_index_follows_digest_order(spark):
     got = {r["id"]: r["row_index"] for r in sampling.dense_index(spark.range(500), key="id", seed="s").collect()}
     assert [k for k, _ in sorted(got.items(), key=lambda p: p[1])] == sorted(range(500), key=lambda i: digest("s", i))
