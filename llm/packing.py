@@ -13,6 +13,7 @@ often as they occur; an empty table gives an empty result; other columns are not
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,13 +26,14 @@ from pyspark.sql import functions as F
 from llm.common import map_arrow, materialize, whole_text
 
 SPECIAL = "<|endoftext|>"
+_LONG_BLANK = re.compile(r"\s{50000}")
 
 
 class Encoder:
     """Token ids of the byte-level vocabulary, as little-endian unsigned 32-bit bytes.
 
     The rank file holds the tokenizer's own vocabulary and is several times faster; only texts that hold a special
-    token's string go to the tokenizer itself.
+    token's string, or a run of blanks that its pattern search cannot take, go to the tokenizer itself.
     """
 
     def __init__(self, folder: str | None = None) -> None:
@@ -45,7 +47,7 @@ class Encoder:
         self.slow = None
 
     def encode(self, text: str) -> bytes:
-        if SPECIAL not in text:
+        if SPECIAL not in text and not _LONG_BLANK.search(text):
             return np.asarray(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
         from tokenizers import Tokenizer
 

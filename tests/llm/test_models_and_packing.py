@@ -268,3 +268,14 @@ def test_every_small_word_is_best_of_all_segmentations():
             if all(p in scores or len(p) == 1 for p in parts):
                 options.append(sum(scores.get(p, pieces.UNKNOWN) for p in parts))
         assert sum(scores.get(p, pieces.UNKNOWN) for p in best_segmentation(unit, scores)) == pytest.approx(max(options))
+
+
+def test_runs_of_a_million_letters_or_blanks_are_packed(spark):
+    """The fast way breaks on very long runs of blanks; the tokenizer takes them."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in (" " * 1_000_000, "a b" + "\n" * 120_000 + "c", "word " * 50_000):
+        want = np.asarray(slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert packing.encoder(None).encode(text) == want

@@ -253,9 +253,10 @@ def test_pipeline_stages(spark, small_folder, tricky, nothing):
             if name == "quality rules":
                 assert all(len(WORD.findall(r.text)) >= 50 for r in new.collect())
             if name == "SimHash near-dedup":
-                prints = [simhash.fingerprint(r.text.encode(), 5) for r in new.collect()]
-                root = groups_by_hand([p % 2**64 for p in prints], 6)
-                assert len(set(root.values())) == len(prints)
+                before = sorted(((r.doc_id is None, r.doc_id or 0), r.text) for r in docs.collect())
+                label = jaccard_groups_by_hand([t for _, t in before])
+                want = sorted(before[i] for i in set(label.index(x) for x in label))
+                assert sorted(((r.doc_id is None, r.doc_id or 0), r.text) for r in new.collect()) == want
             if name == "substring dedup":
                 assert all(r.n_chars == len(r.text) for r in new.collect())
             if name == "PII":
@@ -282,4 +283,4 @@ def test_pipeline_equals_its_stages_by_hand(spark, small_folder):
 def test_queries_return_a_row_per_document(spark, small_folder, name):
     found = queries.queries()[name](spark, small_folder)
     n = given(spark, small_folder, "documents").count()
-    assert found.count() == n or name.startswith(("op5", "op9"))
+    assert found.count() == n or name.startswith(("op5", "op9", "op13"))
