@@ -409,6 +409,10 @@ banded AS (SELECT CASE WHEN purchase_value <= a THEN 1 WHEN purchase_value <= b
     sql["corr_matrix"] = with_views(TIMED, " UNION ALL ".join(
         f"SELECT '{a2}' AS a, '{b2}' AS b, round(corr({a}, {b}), 6) AS r FROM timed"
         for a, a2 in four.items() for b, b2 in four.items()))
+    sql["corr_embeddings"] = """WITH cells AS (
+  SELECT vec_id, j, x FROM (SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS j, unnest(embedding)::double AS x FROM embeddings)
+  WHERE (vec_id + j) % 7 <> 0)
+SELECT a.j::integer AS i, b.j::integer AS j, round(corr(a.x, b.x), 6) AS r FROM cells a JOIN cells b ON a.vec_id = b.vec_id GROUP BY a.j, b.j"""
     riskiest = ("(SELECT {c} FROM timed GROUP BY {c} ORDER BY round(cast(sum(class) AS double) / count(class) * 100, 3) DESC, "
                 "{c} LIMIT 1) AS top_{c}")
     sql["headline_metrics"] = with_views(TIMED, f"""
@@ -494,6 +498,17 @@ SELECT event_id, cast(class AS bigint) AS class, """ + ", ".join(
 SELECT event_id, user_id, purchase_value, source, browser, sex, age, class, ip_address_int, country,
        round(time_since_signup_hours, 6) AS time_since_signup_hours, hour_of_day, day_of_week, {VELOCITY_COLUMNS},
        txn_count_last_1h, txn_count_last_24h, txn_count_last_168h FROM eng""")
+    sql["saved_matrix_holdout"] = with_views(TXN + "," + split_counts("txn") + f""",
+placed AS (
+  SELECT t.* EXCLUDE (n), t.n <= w.train_n AS train FROM (
+    SELECT *, row_number() OVER (PARTITION BY class ORDER BY {digest("42", "event_id")}) AS n FROM txn) t JOIN want w ON t.class = w.class),
+moments AS (SELECT avg(purchase_value) AS m0, stddev_pop(purchase_value) AS d0, avg(age) AS m1, stddev_pop(age) AS d1 FROM placed WHERE train),
+cells AS (
+  SELECT event_id, 'purchase_value' AS feature, (purchase_value - m0) / d0 AS value FROM placed, moments WHERE NOT train UNION ALL
+  SELECT event_id, 'age', (age - m1) / d1 FROM placed, moments WHERE NOT train UNION ALL """ + " UNION ALL ".join(
+        f"""SELECT event_id, concat('{c}_', v), CASE WHEN {c} = v THEN cast(1 AS double) ELSE cast(0 AS double) END
+            FROM placed, (SELECT DISTINCT {c} AS v FROM placed WHERE train) WHERE NOT train""" for c in ("source", "browser", "sex")) + ")", """
+SELECT event_id, feature, round(value, 6) AS value, (SELECT count(*) FROM placed WHERE train) AS train_rows FROM cells""")
     identifiers = ("source", "browser", "device_id", "user_id")
     sql["sparse_identifiers"] = with_views(TXN + """,
 vocabulary AS (

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from txnlens.functions.clock import epoch_micros
 from txnlens.operators import attribution, cleaning, columns, encoding, importance, profiling, ranking, sampling
 from txnlens.operators import segments, smote, training, tuning
+from txnlens.operators.correlation import vector_correlations
 from txnlens.operators.geolocation import add_ip_integer, attach_country, match_quality
 from txnlens.operators.quantiles import quantile_frame
 from txnlens.operators.temporal import add_purchase_clock, add_time_since_signup
 from txnlens.operators.velocity import add_velocity
 from txnlens.plans import modeling, preparation
 from txnlens.session import materialize, scratch_path
-from txnlens.sources import readers, standins
+from txnlens.sources import readers, saved, standins
 from txnlens.sources.writers import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -396,6 +397,14 @@ def corr_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(segments.correlations(_timed(spark, folder), names), 6, "r")
 
 
+@query
+def corr_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Correlations of all components of the embeddings; every seventh cell of a component is taken as missing."""
+    cells = F.transform("embedding", lambda x, j: F.when((F.col("vec_id") + j) % 7 != 0, x.cast("double")))
+    table = standins.given(spark, folder, "embeddings").select(cells.alias("v"))
+    return rounded(vector_correlations(table, "v"), 6, "r")
+
+
 @query
 def headline_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(segments.headline_metrics(_timed(spark, folder)), 6, "fraud_rate_pct", "imbalance_ratio",
@@ -561,6 +570,18 @@ def sparse_identifiers(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(encoding.fit_sparse_encoder(table, config).long(table, keep=["event_id"]), 6, "value")
 
 
+@query
+def saved_matrix_holdout(spark: SparkSession, folder: str) -> DataFrame:
+    """The train rows' matrix built, saved and loaded; the holdout encoded from what was saved."""
+    config = encoding.FeatureConfig(numeric=("purchase_value", "age"), categorical=("source", "browser", "sex"))
+    tagged = materialize(sampling.with_split(standins.transactions(spark, folder), key="event_id"), "tagged")
+    place = scratch_path(spark, "saved-matrix")
+    saved.load_or_build_matrix(spark, place, lambda: tagged.where("split = 'train'"), config=config)
+    again = saved.load_or_build_matrix(spark, place, lambda: tagged.limit(0), config=config)
+    holdout = again.encoder.long(tagged.where("split = 'test'"), keep=["event_id"])
+    return rounded(holdout.withColumn("train_rows", F.lit(sum(again.classes.values())).cast("long")), 6, "value")
+
+
 @query
 def feature_labels(spark: SparkSession, folder: str) -> DataFrame:
     sizes = _long_matrix(spark, folder).groupBy("feature").agg(

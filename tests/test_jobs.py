@@ -6,7 +6,7 @@ import pytest
 from txnlens.operators import encoding
 from txnlens.operators.encoding import FeatureConfig, fit_encoder
 from txnlens.plans import modeling, preparation
-from txnlens.sources import readers, standins, writers
+from txnlens.sources import readers, saved, standins, writers
 
 
 @pytest.fixture(scope="module")
@@ -145,6 +145,30 @@ def test_sparse_encoder_equals_the_dense_one(spark, joins, monkeypatch):
         fit_encoder(df, config)
 
 
+def test_saved_matrix(spark, tmp_path, monkeypatch):
+    rows = [(i, float(i % 7), "ab"[i % 2], i % 2) for i in range(40)]
+    df, config = spark.createDataFrame(rows, "event_id long, x double, c string, class int"), FeatureConfig(numeric=("x",), categorical=("c",))
+    place = str(tmp_path / "matrix")
+    assert saved.load_matrix(spark, place) is None
+    built = saved.load_or_build_matrix(spark, place, lambda: df, config=config)
+    again = saved.load_or_build_matrix(spark, place, lambda: 1 / 0, config=config)
+    assert (again.encoder, again.classes) == (built.encoder, {"0": 20, "1": 20})
+    assert sorted(again.matrix.collect()) == sorted(built.encoder.wide(df, keep=["event_id"]).collect())
+    # A later save is what readers get; one that breaks off, or whose target is wrong, is not seen.
+    newer = saved.save_matrix(built.encoder.wide(df.limit(30), keep=["event_id"]), built.encoder, place)
+    with pytest.raises(ValueError, match="target"):
+        saved.save_matrix(built.encoder.wide(df.where("class = 1"), keep=["event_id"]), built.encoder, place)
+    (tmp_path / "matrix" / "manifests" / "99999999-broken").mkdir()
+    assert saved.load_matrix(spark, place).classes == newer.classes
+    with pytest.raises(ValueError, match="x"):
+        saved.save_matrix(df.select("event_id", "class"), built.encoder, place)
+    # A matrix that lost rows no longer fits its manifest.
+    newer.matrix.limit(3).write.mode("overwrite").parquet(str(tmp_path / "fewer"))
+    monkeypatch.setattr(saved.json, "loads", lambda t, keep=saved.json.loads: keep(t) | {"path": str(tmp_path / "fewer")})
+    with pytest.raises(ValueError, match="manifest"):
+        saved.load_matrix(spark, place)
+
+
 def test_modeling_job(spark, raw_folder, tmp_path):
     engineered = preparation.engineer(preparation.load_base(spark, raw_folder), order_key="user_id")
     result = modeling.run_modeling(

@@ -1,7 +1,10 @@
+import math
 import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from txnlens.operators import profiling, segments
 
 
@@ -96,3 +99,24 @@ def test_correlations(spark):
 def test_mean_rate_drops_null_segments(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), (None, 1)], "s string, class int")
     assert [tuple(r) for r in segments.mean_rate_by(df, "s").collect()] == [("a", 2, 0.5)]
+
+
+def test_correlations_of_many_columns(spark):
+    from txnlens.operators.correlation import vector_correlations
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 15)) * 10.0 ** rng.integers(-3, 6, 15) + 1e6
+    x[:, 1] = x[:, 0] * 2 + rng.normal(size=500) * 1e-3
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 3] = 7.0
+    names = [f"c{j}" for j in range(15)]
+    frame = pd.DataFrame(x, columns=names)
+    df = spark.createDataFrame(frame).replace(float("nan"), None).repartition(3)
+    got = {(r["a"], r["b"]): r["r"] for r in segments.correlations(df, names).collect()}
+    want = frame.corr(min_periods=1)
+    assert len(got) == 225
+    for (a, b), r in got.items():
+        assert (math.isnan(r) and math.isnan(want.loc[a, b])) or r == pytest.approx(want.loc[a, b], abs=1e-7), (a, b)
+    assert vector_correlations(df.select(F.array(*names).alias("v")).limit(0), "v").count() == 0
+    lonely = spark.createDataFrame([([1.0, None],), ([None, 2.0],)], "v array<double>")
+    assert {(r["i"], r["j"]): r["r"] for r in vector_correlations(lonely, "v").where("i != j").collect()} == {(0, 1): None, (1, 0): None}

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from txnlens.functions.checks import require_columns
 from txnlens.functions.labels import class_name
 from txnlens.functions.numbers import percent, ratio
+from txnlens.operators.correlation import vector_correlations
 from txnlens.operators.quantiles import quantile_frame, quantile_values
 
 # Right-closed age bands (lower, upper, name); the first one includes 0.
 AGE_BANDS = ((0, 25, "<=25"), (25, 35, "26-35"), (35, 45, "36-45"), (45, 55, "46-55"), (55, 100, "56+"))
+#: Up to so many columns a correlation matrix is one expression a pair.
+PAIRED_COLUMNS = 12
 
 
 def rate_by(df: DataFrame, column: str, *, label: str = "class", min_transactions: int = 0,
@@ -111,8 +114,15 @@ def top_values(df: DataFrame, column: str, n: int = 8) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlations as (``a``, ``b``, ``r``), one pass over the data."""
+    """Pairwise-complete Pearson correlations as (``a``, ``b``, ``r``).
+
+    Few columns take one pass with an expression a pair, more than ``PAIRED_COLUMNS`` the blocks of products.
+    """
     require_columns(df, columns)
+    if len(columns) > PAIRED_COLUMNS:
+        packed = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+        names = F.array(*[F.lit(c) for c in columns])
+        return vector_correlations(packed, "v").select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "r")
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     sums = wide.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
