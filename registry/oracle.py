@@ -385,6 +385,7 @@ FROM counted"""
     sql["balance_by_stage"] = with_views(TXN + """,
 counted AS (SELECT source AS stage, class, count(*) AS count FROM txn GROUP BY source, class)""",
                                          balance.format(stage="stage,", part="PARTITION BY stage"))
+    sql["stage_balance"] = with_views(TXN + "," + split_counts("txn"), "SELECT class, cast(n - train_n AS bigint) AS count FROM want")
     # Segments.
     sql["rate_by_browser"] = with_views(DIRTY, rates("browser", "dirty"))
     sql["rate_by_segment"] = with_views(TXN, " UNION ALL ".join(

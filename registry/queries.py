@@ -364,6 +364,14 @@ def balance_by_stage(spark: SparkSession, folder: str) -> DataFrame:
     return profiling.balance_by_stage(standins.transactions(spark, folder), stage_column="source")
 
 
+@query
+def stage_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """The untouched holdout's part of a table of stages."""
+    train, test = sampling.stratified_split(standins.transactions(spark, folder), key="event_id")
+    stages = profiling.compare_stages({"train_before_resampling": train, "test_holdout_unmodified": test})
+    return profiling.stage_balance(stages, "test_holdout_unmodified").select("class", "count")
+
+
 # Segments --------------------------------------------------------------------------------
 
 

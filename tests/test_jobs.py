@@ -187,6 +187,10 @@ def test_modeling_job(spark, raw_folder, tmp_path):
     found = modeling.attribution_job(engineered, f"{tmp_path}/shap", result=result, background_rows=30, explained_rows=20)
     saved = readers.read_table(spark, f"{tmp_path}/shap/shap_top_features")
     assert saved.count() == found.top_features.count() == 10
+    assert readers.read_table(spark, f"{tmp_path}/shap/shap_beeswarm").count() == found.beeswarm.count() > 0
+    # Without its rows the model is explained on the same split, made again.
+    alone = modeling.attribution_job(engineered, f"{tmp_path}/again", model=result.best, key="user_id", background_rows=30, explained_rows=20)
+    assert sorted(alone.explained.collect()) == sorted(found.explained.collect()) and alone.base == pytest.approx(found.base)
 
 
 def test_resampling_job(spark, raw_folder, tmp_path):

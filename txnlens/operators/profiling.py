@@ -185,6 +185,12 @@ def balance_by_stage(df: DataFrame, *, target: str = "class", stage_column: str
         spread.alias("imbalance_ratio"))
 
 
+def stage_balance(comparison: DataFrame, stage: str) -> DataFrame:
+    """The rows of one stage of a balance table, by class."""
+    require_columns(comparison, ["stage", "class"])
+    return comparison.where(F.col("stage") == stage).drop("stage").orderBy("class")
+
+
 def compare_stages(stages: dict[str, DataFrame], *, target: str = "class") -> DataFrame:
     """Class balance of several tables, e.g. before and after resampling."""
     tagged = [df.select(F.lit(name).alias("stage"), F.col(target).alias("class")) for name, df in stages.items()]

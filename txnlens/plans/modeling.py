@@ -58,6 +58,7 @@ class AttributionResult:
     dependence: DataFrame
     explained: DataFrame
     base: float | None
+    beeswarm: DataFrame
 
 
 def prepare(engineered: DataFrame, *, key: str = "event_id", config: FeatureConfig = FeatureConfig(),
@@ -139,17 +140,26 @@ def explain(trained: TrainedModel, prepared: PreparedData, *, background_rows: i
     case = at.strongest_case(trained.scores.join(rows.select(key), key, "left_semi"), key=key)
     return AttributionResult(
         values, top, case, at.waterfall(values.join(case.select(key), key, "left_semi"), key=key),
-        at.dependence(values, rows, names, top.first()["feature"], key=key), rows, base)
+        at.dependence(values, rows, names, top.first()["feature"], key=key), rows, base,
+        at.beeswarm(values, rows, names, key=key))
 
 
-def attribution_job(engineered: DataFrame, folder: str, *, result: ModelingResult | None = None, key: str = "event_id",
-                    format: str = "parquet", **options) -> AttributionResult:
-    """Explain the best model (trained here when no result is given) and write the tables."""
-    if result is None:
-        result = run_modeling(engineered, key=key)
-    found = explain(result.best, result.data.prepared, **options)
-    write_all({"shap_top_features": found.top_features, "shap_waterfall": found.waterfall,
-               "shap_dependence": found.dependence}, folder, format=format)
+def attribution_job(engineered: DataFrame, folder: str, *, result: ModelingResult | None = None, model: TrainedModel | None = None,
+                    key: str = "event_id", test_size: float = 0.2, split_seed: int = 42, format: str = "parquet",
+                    **options) -> AttributionResult:
+    """Explain the best model of ``result``, or ``model``, or one trained here, and write the tables.
+
+    A ``model`` comes without its rows: the split and encoding, which follow from the engineered table, the key and the
+    seed, are made again.
+    """
+    if model is not None:
+        best, prepared = model, prepare(engineered, key=key, test_size=test_size, seed=split_seed)
+    else:
+        result = result or run_modeling(engineered, key=key, test_size=test_size, seed=split_seed)
+        best, prepared = result.best, result.data.prepared
+    found = explain(best, prepared, **options)
+    write_all({"shap_top_features": found.top_features, "shap_waterfall": found.waterfall, "shap_dependence": found.dependence,
+               "shap_beeswarm": found.beeswarm}, folder, format=format)
     return found
 
 
