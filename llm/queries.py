@@ -119,8 +119,20 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+TOP_K_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint AS score
+  FROM whole q JOIN whole c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::integer AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20"""
+
+
 def oracle_sql() -> dict[str, str]:
     from llm.manifest import manifest_sql
     from llm.trie import trie_sql
 
-    return {"op11_merkle_manifest": manifest_sql(), "op13_conversation_trie": trie_sql()}
+    return {"op11_merkle_manifest": manifest_sql(), "op13_conversation_trie": trie_sql(), "op9_topk_search": TOP_K_SQL}
