@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import as_bytes, map_arrow, materialize
+from llm.common import as_bytes, map_arrow, materialize, scratch_path
+from txnlens.session import scratch
 
 #: Fixed reference fingerprints: the first 32 outputs of a linear congruential generator.
 PIVOTS = np.array(list(accumulate(range(32), lambda x, _: (x * 6364136223846793005 + 1442695040888963407) % 2**64,
@@ -222,13 +223,17 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 
 def shingled(docs: DataFrame, made: Callable[[Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]], Iterable[dict[str, object]]],
-             arrow: pa.Schema, schema: str, *, shingle: int, seed: int = 42) -> DataFrame:
+             arrow: pa.Schema, schema: str, *, shingle: int, seed: int = 42, rows: np.ndarray | None = None) -> DataFrame:
     """``made`` over batches of ``doc, row, text`` and their texts' distinct shingle hashes. The sets are several times the
-    texts' size, so they are made anew where they are needed and not stored."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+    texts' size, so they are made anew where they are needed and not stored. ``rows`` flags the buckets of ``row`` to read."""
+    wanted = None if rows is None else docs.sparkSession.sparkContext.broadcast(rows)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        if wanted is not None:
+            batches = (x.filter(pa.array(wanted.value[x.column(1).to_numpy() % len(wanted.value)])) for x in batches)
         return made((x, [np.unique(np.array(shingle_hashes(t, shingle, seed), dtype="<u8")) for t in as_bytes(x.column(2))]) for x in batches)
 
-    return map_arrow(docs, schema, arrow, rows)
+    return map_arrow(docs, schema, arrow, read)
 
 
 def set_ids(sets: list[np.ndarray]) -> np.ndarray:
@@ -245,8 +250,8 @@ def bucket_counts(counted: DataFrame, buckets: int) -> np.ndarray:
 
 
 def common_shingles(docs: DataFrame, *, shingle: int, buckets: int = COMMON_BUCKETS) -> np.ndarray:
-    """How often shingles of each hash bucket occur in an eighth of the texts. It only orders shingles, rare ones first; any
-    order gives the same result."""
+    """How often shingles of each hash bucket occur in an eighth of the texts. It only orders shingles, rare ones first, and
+    says which cells to spread; any order gives the same result."""
     def made(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
         total = np.zeros(buckets, np.int64)
         for _, sets in batches:
@@ -261,84 +266,133 @@ def common_shingles(docs: DataFrame, *, shingle: int, buckets: int = COMMON_BUCK
     return bucket_counts(shingled(eighth, made, arrow, "bucket long, n long", shingle=shingle), buckets)
 
 
-def prefixes(docs: DataFrame, *, shingle: int) -> DataFrame:
-    """``cell, id, n, at``: the rarest shingles of each set, one of which any set that is similar enough shares.
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Four signed longs: bit i is the parity of how many hashes fall into bucket i of 256. Where two sets' bits differ,
+    a member of one is missing from the other, so the sets differ in at least as many members as bits."""
+    odd = np.bincount(((hashes >> np.uint64(24)) & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def prefixes(docs: DataFrame, *, shingle: int, spread: int = 20_000) -> DataFrame:
+    """``cell, part, id, at``: the rarest shingles of each set, one of which any set that is similar enough shares.
 
     Of ``n`` shingles ``ceil(4 n / 5)`` at least are shared, so the first ``n - ceil(4 n / 5) + 1`` in an order common to
-    all sets hold a shared one. Any order is right; one that puts common shingles last makes cells small.
+    all sets hold a shared one. Any order is right; one that puts common shingles last makes cells small. Cells that look
+    larger than ``spread`` rows have parts from 1 on, others the part 0.
     """
     order = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle=shingle))
 
     def made(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
+        told: set[int] = set()  # a task sends equal sets once
         for _, sets in batches:
-            cells, ids, sizes, places = [], [], [], []
-            for i, hashes in zip(set_ids(sets), sets, strict=True):
+            for own, hashes in zip(set_ids(sets).tolist(), sets, strict=True):
                 n = len(hashes)
+                if not n or own in told:
+                    continue
+                told.add(own)
                 often = order.value[(hashes % np.uint64(len(order.value))).astype(np.int64)]
-                first = hashes[np.lexsort((hashes, often))[:n - (4 * n + 4) // 5 + 1]] if n else hashes
-                cells.append(first)
-                ids.append(np.full(len(first), i))
-                sizes.append(np.full(len(first), n))
-                places.append(np.arange(len(first)))
-            if cells:
-                yield {"cell": np.concatenate(cells).astype("<u8").view(np.int64), "id": np.concatenate(ids), "n": np.concatenate(sizes).astype(np.int32),
-                       "at": np.concatenate(places).astype(np.int32)}
+                first = np.lexsort((hashes, often))[:n - (4 * n + 4) // 5 + 1]
+                parts = -(-8 * often[first] // spread)
+                yield {"cell": hashes[first].view("<i8"), "part": np.where(parts > 1, 1 + own % np.maximum(parts, 1), 0).astype(np.int32),
+                       "id": np.full(len(first), own), "at": np.arange(len(first), dtype=np.int32)}
+
+    def whole(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
+        kept: list[dict[str, np.ndarray]] = []
+        for x in made(batches):
+            kept.append(x)
+            if len(kept) == 500:
+                yield {n: np.concatenate([y[n] for y in kept]) for n in x}
+                kept = []
+        if kept:
+            yield {n: np.concatenate([y[n] for y in kept]) for n in kept[0]}
+
+    arrow = pa.schema([("cell", pa.int64()), ("part", pa.int32()), ("id", pa.int64()), ("at", pa.int32())])
+    return shingled(docs, whole, arrow, "cell long, part int, id long, at int", shingle=shingle)
+
+
+def shared_prefixes(found: DataFrame) -> DataFrame:
+    """``cell, id, at`` of the cells with several sets. One shuffle by cell and part, then a pass over sorted rows that holds one row."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        held = {n: np.zeros(0, np.int64) for n in ("cell", "part", "id", "at")}
+        more = False  # the held row's cell has shown another set before
+
+        def kept(at: dict[str, np.ndarray], before: bool, last: bool) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray], bool]:
+            new_id = np.ones(len(at["cell"]), bool)
+            new_id[1:] = (np.diff(at["cell"]) != 0) | (np.diff(at["id"]) != 0)
+            at = {n: x[new_id] for n, x in at.items()}
+            same = at["cell"][1:] == at["cell"][:-1]
+            several = np.zeros(len(at["cell"]), bool)
+            several[1:] |= same
+            several[:-1] |= same
+            several[:1] |= before
+            several |= at["part"] > 0
+            out = several.copy()
+            if not last:
+                out[-1] = False
+            return {n: x[out] for n, x in at.items() if n != "part"}, {n: x[-1:] for n, x in at.items()}, len(at["cell"]) > 0 and bool(several[-1])
+
+        for batch in batches:
+            if batch.num_rows:
+                told, held, more = kept({n: np.concatenate([x, batch.column(n).to_numpy()]) for n, x in held.items()}, more, False)
+                yield told
+        if len(held["cell"]):
+            yield kept(held, more, True)[0]
 
-    arrow = pa.schema([("cell", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
-    return shingled(docs, made, arrow, "cell long, id long, n int, at int", shingle=shingle)
+    arrow = pa.schema([("cell", pa.int64()), ("id", pa.int64()), ("at", pa.int32())])
+    dealt = found.repartition("cell", "part").sortWithinPartitions("cell", "part", "id")
+    return map_arrow(dealt, "cell long, id long, at int", arrow, rows)
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, *, shingle: int, buckets: int = COMMON_BUCKETS) -> DataFrame:
-    """``id`` and ``hashes`` of the sets of ``ids`` and of few others (those that meet them in a bucket); a task tells each once."""
-    wanted = docs.sparkSession.sparkContext.broadcast(bucket_counts(
-        ids.select(F.pmod("id", F.lit(buckets)).alias("bucket"), F.lit(1).alias("n")).distinct(), buckets) > 0)
+def sets_of(docs: DataFrame, rows: DataFrame, *, shingle: int, buckets: int = COMMON_BUCKETS) -> DataFrame:
+    """``id`` and ``hashes`` of the sets of ``rows`` and of few others (those that meet them in a bucket); a task tells each once."""
+    wanted = bucket_counts(rows.select(F.pmod("row", F.lit(buckets)).alias("bucket"), F.lit(1).alias("n")).distinct(), buckets) > 0
 
     def made(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
         told: set[int] = set()
         for _, sets in batches:
             own = set_ids(sets)
-            new = [i for i, x in enumerate(own.tolist()) if wanted.value[x % buckets] and not (x in told or told.add(x))]
+            new = [i for i, x in enumerate(own.tolist()) if not (x in told or told.add(x))]
             yield {"id": own[new], "hashes": [sets[i].view("<i8") for i in new]}
 
     arrow = pa.schema([("id", pa.int64()), ("hashes", pa.list_(pa.int64()))])
-    return shingled(docs, made, arrow, "id long, hashes array<long>", shingle=shingle)
+    return shingled(docs, made, arrow, "id long, hashes array<long>", shingle=shingle, rows=wanted)
 
 
-def similar(docs: DataFrame, *, shingle: int, stars: int = 2) -> DataFrame:
+def similar(docs: DataFrame, marks: DataFrame, *, shingle: int) -> DataFrame:
     """Pairs ``a, b`` of ``id`` whose components are those of all pairs with Jaccard similarity of 0.8 or more.
 
-    Rows of a cell meet the cell's leader first, which ties families together; then rows that are still apart meet
-    each other. A pair's similarity is counted exactly from both sets. Pairs whose sizes or places in the order leave too
-    few shingles to share are not compared: the cell of their first shared shingle would have said so.
+    Rows of a cell meet two leaders of the cell first, which ties families together; then rows that are still apart meet
+    each other. Pairs whose sizes, places in the order or parities (in ``marks``) leave too few shingles to share are not
+    compared; a pair that is left is counted exactly from both sets.
     """
-    cells = materialize(prefixes(docs, shingle=shingle), "prefixes")
-    many = cells.groupBy("cell").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select(F.col("cell").alias("of"))
-    cells = materialize(cells.join(many, F.col("cell") == F.col("of")).drop("of").distinct(), "shared-prefixes")
-    found = None
-    labelled = cells.withColumn("label", F.col("id"))
-    for turn in range(stars + 1):
-        if found is not None:
-            labels = materialize(components(found), "similar-labels")
-            labelled = cells.join(labels, F.col("id") == F.col("node"), "left").select("cell", "id", "n", "at", F.coalesce("label", "id").alias("label"))
-            apart = labelled.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(
-                F.col("cell").alias("of"))
-            labelled = materialize(labelled.join(apart, F.col("cell") == F.col("of")).drop("of"), "apart")
-        if turn < stars:
-            other = labelled.groupBy("cell").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "at", "label")).alias("s")).select(
-                "cell", F.col("s.id").alias("id2"), F.col("s.n").alias("n2"), F.col("s.at").alias("at2"), F.col("s.label").alias("label2"))
-        else:
-            other = labelled.select("cell", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("label").alias("label2"))
-        possible = 9 * F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) >= 4 * (F.col("n") + F.col("n2"))
-        apart = F.col("label") != F.col("label2") if turn < stars else F.col("label") < F.col("label2")
-        pairs = materialize(labelled.join(other, "cell").where(apart & possible).select(
-            F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct(), "pairs")
-        named = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        sets = materialize(sets_of(docs, named, shingle=shingle).dropDuplicates(["id"]), "sets")
+    bits = [f"p{i}" for i in range(4)]
+    own = ["id", "n", "at", *bits]
+    cells = materialize(shared_prefixes(prefixes(docs, shingle=shingle)).join(marks.select("id", "n", *bits), "id").select("cell", *own), "shared-prefixes")
+
+    def near(left: DataFrame, right: DataFrame, apart: Column) -> DataFrame:
+        differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_2"))) for p in bits), F.lit(0))
+        possible = (9 * F.least(F.col("n") - F.col("at"), F.col("n_2") - F.col("at_2")) >= 4 * (F.col("n") + F.col("n_2"))) & (
+            9 * differ <= F.col("n") + F.col("n_2"))
+        return materialize(left.join(right, "cell").where(apart & possible).select(
+            F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), "pairs")
+
+    def true(pairs: DataFrame) -> DataFrame:
+        rows = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(marks.select("id", F.col("first.row").alias("row")), "id")
+        sets = materialize(sets_of(docs, rows, shingle=shingle).dropDuplicates(["id"]), "sets")
         one, two = (sets.select(F.col("id").alias(n), F.col("hashes").alias(h)) for n, h in (("a", "own"), ("b", "theirs")))
         shared = F.size(F.array_intersect("own", "theirs"))
-        true = pairs.join(one, "a").join(two, "b").where(9 * shared >= 4 * (F.size("own") + F.size("theirs"))).select("a", "b")
-        found = materialize(true if found is None else found.union(true), "similar")
-    return found
+        return pairs.join(one, "a").join(two, "b").where(9 * shared >= 4 * (F.size("own") + F.size("theirs"))).select("a", "b")
+
+    leader = lambda seed: F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), *own))
+    leaders = cells.groupBy("cell").agg(F.array(leader(0), leader(1)).alias("two")).select("cell", F.explode("two").alias("s")).select(
+        "cell", *[F.col(f"s.{c}").alias(f"{c}_2") for c in own])
+    tied = materialize(true(near(cells, leaders, F.col("id") != F.col("id_2"))), "tied")
+    labels = materialize(components(tied), "tied-labels")
+    labelled = cells.join(labels, F.col("id") == F.col("node"), "left").select("cell", *own, F.coalesce("label", "id").alias("label"))
+    apart = labelled.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(F.col("cell").alias("of"))
+    labelled = materialize(labelled.join(apart, F.col("cell") == F.col("of")).drop("of"), "apart")
+    other = labelled.select("cell", *[F.col(c).alias(f"{c}_2") for c in [*own, "label"]])
+    return materialize(tied.union(true(near(labelled, other, F.col("label") < F.col("label_2")))), "similar")
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
@@ -349,18 +403,27 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingl
     """
     def identified(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
         for batch, sets in batches:
-            yield {"doc": batch.column(0), "row": batch.column(1), "id": set_ids(sets)}
+            bits = np.array([parities(x) for x in sets], dtype=np.int64).reshape(-1, 4)
+            yield {"doc": batch.column(0), "row": batch.column(1), "id": set_ids(sets), "n": [len(x) for x in sets]} | {f"p{i}": bits[:, i] for i in range(4)}
 
+    spark = docs.sparkSession
     narrow = docs.select(F.col(key).cast("long").alias("doc"), row_id(key, text).alias("row"), F.col(text).cast("string").alias("text"))
-    arrow = pa.schema([(n, pa.int64()) for n in ("doc", "row", "id")])
+    names = ["doc", "row", "id", "n", "p0", "p1", "p2", "p3"]
     order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
-    first = materialize(shingled(narrow, identified, arrow, "doc long, row long, id long", shingle=shingle).groupBy("id").agg(
-        F.min(order).alias("first")), "first")
-    labels = components(similar(narrow, shingle=shingle))
-    least = first.join(labels, F.col("id") == F.col("node"), "left").groupBy(F.coalesce("label", "id").alias("label")).agg(F.min("first").alias("least"))
-    kept = materialize(least.select(F.col("least.row").alias("kept_row")).distinct(), "kept")
+    out = scratch_path(spark, "kept")
+    with scratch(spark):  # what the search wrote goes when the rows to keep are known
+        found = shingled(narrow, identified, pa.schema([(n, pa.int64()) for n in names]), ", ".join(f"{n} long" for n in names), shingle=shingle)
+        marks = materialize(found.groupBy("id").agg(F.min(order).alias("first"), *[F.first(n).alias(n) for n in names[3:]]), "marks")
+        labels = components(similar(narrow, marks, shingle=shingle))
+        least = marks.join(labels, F.col("id") == F.col("node"), "left").groupBy(F.coalesce("label", "id").alias("label")).agg(F.min("first").alias("least"))
+        kept = least.select(F.col("least.row").alias("kept_row")).distinct()
+        times = narrow.groupBy("row").agg(F.count("*").alias("times"))
+        kept.join(times, F.col("kept_row") == F.col("row")).select("kept_row", (F.col("times") > 1).alias("repeated")).write.parquet(out)
+    kept = spark.read.schema("kept_row long, repeated boolean").parquet(out)
     columns = {c: f"__in_{i}" for i, c in enumerate(docs.columns)}
     own = docs.withColumnsRenamed(columns).withColumn("row", row_id(columns[key], columns[text]))
-    found = own.join(kept, F.col("row") == F.col("kept_row"), "left_semi")
+    back = [F.col(new).alias(old) for old, new in columns.items()]
+    once = own.join(kept.where("NOT repeated"), F.col("row") == F.col("kept_row"), "left_semi").select(*back)
+    repeats = own.join(kept.where("repeated"), F.col("row") == F.col("kept_row"), "left_semi")
     turn = F.row_number().over(Window.partitionBy("row").orderBy("row"))
-    return found.withColumn("turn", turn).where("turn = 1").select(*[F.col(new).alias(old) for old, new in columns.items()])
+    return once.unionAll(repeats.withColumn("turn", turn).where("turn = 1").select(*back))
