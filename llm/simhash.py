@@ -266,13 +266,28 @@ def common_shingles(docs: DataFrame, *, shingle: int, buckets: int = COMMON_BUCK
     return bucket_counts(shingled(eighth, made, arrow, "bucket long, n long", shingle=shingle), buckets)
 
 
-def parities(hashes: np.ndarray) -> np.ndarray:
-    """Four signed longs: bit i is the parity of how many hashes fall into bucket i of 256. Where two sets' bits differ,
-    a member of one is missing from the other, so the sets differ in at least as many members as bits."""
-    odd = np.bincount(((hashes >> np.uint64(24)) & np.uint64(255)).astype(np.int64), minlength=256) & 1
+def parities(hashes: np.ndarray, bits: int = 256) -> np.ndarray:
+    """Signed longs: bit i is the parity of how many hashes fall into bucket i of ``bits``, a power of two. Where two sets'
+    bits differ, a member of one is missing from the other, so the sets differ in at least as many members as bits."""
+    odd = np.bincount(((hashes >> np.uint64(24)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def long_parities(hashes: np.ndarray) -> np.ndarray:
+    """Parities in two to four bits a member, a 20th of the set's own size; 256 bits at least."""
+    return parities(hashes, max(256, 1 << (2 * len(hashes) - 1).bit_length()) if len(hashes) else 256)
+
+
+def parities_differ(a: str, b: str) -> Column:
+    """In how many bits two columns of long parities differ; the finer one is folded to the coarser."""
+    def folded(x: str, to: str) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(to), F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))).otherwise(F.col(x))
+
+    counts = F.zip_with(folded(a, b), folded(b, a), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.aggregate(counts, F.lit(0), lambda total, n: total + F.coalesce(n, F.lit(0)))
+
+
 def prefixes(docs: DataFrame, *, shingle: int, spread: int = 20_000) -> DataFrame:
     """``cell, part, id, at``: the rarest shingles of each set, one of which any set that is similar enough shares.
 
@@ -377,6 +392,8 @@ def similar(docs: DataFrame, marks: DataFrame, *, shingle: int) -> DataFrame:
             F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), "pairs")
 
     def true(pairs: DataFrame) -> DataFrame:
+        one, two = (marks.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in ("a", "b"))
+        pairs = materialize(pairs.join(one, "a").join(two, "b").where(9 * parities_differ("bits_a", "bits_b") <= F.col("n_a") + F.col("n_b")).select("a", "b"), "close")
         rows = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(marks.select("id", F.col("first.row").alias("row")), "id")
         sets = materialize(sets_of(docs, rows, shingle=shingle).dropDuplicates(["id"]), "sets")
         one, two = (sets.select(F.col("id").alias(n), F.col("hashes").alias(h)) for n, h in (("a", "own"), ("b", "theirs")))
@@ -404,7 +421,8 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingl
     def identified(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
         for batch, sets in batches:
             bits = np.array([parities(x) for x in sets], dtype=np.int64).reshape(-1, 4)
-            yield {"doc": batch.column(0), "row": batch.column(1), "id": set_ids(sets), "n": [len(x) for x in sets]} | {f"p{i}": bits[:, i] for i in range(4)}
+            yield {"doc": batch.column(0), "row": batch.column(1), "id": set_ids(sets), "n": [len(x) for x in sets],
+                   "bits": [long_parities(x) for x in sets]} | {f"p{i}": bits[:, i] for i in range(4)}
 
     spark = docs.sparkSession
     narrow = docs.select(F.col(key).cast("long").alias("doc"), row_id(key, text).alias("row"), F.col(text).cast("string").alias("text"))
@@ -412,8 +430,9 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingl
     order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
     out = scratch_path(spark, "kept")
     with scratch(spark):  # what the search wrote goes when the rows to keep are known
-        found = shingled(narrow, identified, pa.schema([(n, pa.int64()) for n in names]), ", ".join(f"{n} long" for n in names), shingle=shingle)
-        marks = materialize(found.groupBy("id").agg(F.min(order).alias("first"), *[F.first(n).alias(n) for n in names[3:]]), "marks")
+        arrow = pa.schema([*[(n, pa.int64()) for n in names], ("bits", pa.list_(pa.int64()))])
+        found = shingled(narrow, identified, arrow, ", ".join(f"{n} long" for n in names) + ", bits array<long>", shingle=shingle)
+        marks = materialize(found.groupBy("id").agg(F.min(order).alias("first"), *[F.first(n).alias(n) for n in [*names[3:], "bits"]]), "marks")
         labels = components(similar(narrow, marks, shingle=shingle))
         least = marks.join(labels, F.col("id") == F.col("node"), "left").groupBy(F.coalesce("label", "id").alias("label")).agg(F.min("first").alias("least"))
         kept = least.select(F.col("least.row").alias("kept_row")).distinct()
