@@ -7,12 +7,16 @@ segmentation of highest total piece score (Viterbi; ties to the longer last piec
 to their UTF-8 bytes. The ids then go back to the blocks of texts that asked for them.
 
 Edge cases: a null or empty text has no ids; text that holds the mark itself decodes to a space; repeated rows are encoded
-alike; an empty table gives an empty result; the names of other columns do not matter. Units longer than ``longest_unit``
-characters are cut there, so that one unit's lattice stays small.
+alike; an empty table gives an empty result; the names of other columns do not matter. Units longer than ``LONG_UNIT``
+characters (runs without blanks or of one sign) are not cut: the task that holds their text runs the same search over them,
+in time and memory proportional to their length.
+
+Texts travel to their blocks once, as compressed frames of many texts.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -20,16 +24,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from llm import blocks
 from llm.blocks import BLOCK, BODY
-from llm.common import as_bytes, map_arrow
+from llm.common import as_bytes, blocks_for, map_arrow
 
 MARK = "▁"
-LONGEST_UNIT = 64
-#: Score of a character that is no piece: below every ordinary piece.
+#: Longer units are searched where their text is; no result depends on it.
+LONG_UNIT = 64
+#: Score of a character that is no piece: below every piece but those of blanks.
 UNKNOWN = -1e6
 #: Marks and the letters, or the other characters, that follow: no piece crosses from one to the other. (The one piece
 #: of the vocabulary that would, a raised two and a full stop, stays whole as neither is a letter here.)
@@ -52,6 +59,9 @@ class Pieces:
                      if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         self.first_byte = model.piece_to_id("<0x00>")
         self.longest = max(len(name) for name, _, _ in self.rows)
+        self.table = {name: (i, score) for name, i, score in self.rows}
+        #: Ids travel as big-endian numbers of this many bytes.
+        self.width = 2 if len(self.names) <= 1 << 16 else 4
 
 
 @lru_cache(maxsize=2)
@@ -63,39 +73,85 @@ def units_of(text: str) -> list[str]:
     """Units of a text in order; joined they are the marked text."""
     if not text:
         return []
-    out = _UNIT.findall(MARK + text.replace(" ", MARK))
-    if max(map(len, out)) > LONGEST_UNIT:
-        out = [u[i:i + LONGEST_UNIT] for u in out for i in range(0, len(u), LONGEST_UNIT)]
-    return out
-
-
-def lattice_ids(units: DataFrame, spark: SparkSession, path: str | None, keep: str) -> DataFrame:
-    """``unit``, ``keep`` and ``ids`` of distinct units; partitioned by unit before and after, so nothing moves."""
+    return _UNIT.findall(MARK + text.replace(" ", MARK))
+
+
+def best_ids(unit: str, known: Pieces) -> list[int]:
+    """The lattice's search over one unit of any length: highest total score, ties to the longer last piece."""
+    scores, lengths = [0.0], [0]
+    for end in range(1, len(unit) + 1):
+        best, length = -math.inf, 1
+        for n in range(1, min(known.longest, end) + 1):
+            piece = known.table.get(unit[end - n:end])
+            if piece is None and n > 1:
+                continue
+            score = scores[end - n] + (UNKNOWN if piece is None else piece[1])
+            if score >= best:
+                best, length = score, n
+        scores.append(best)
+        lengths.append(length)
+    out: list[int] = []
+    end = len(unit)
+    while end:
+        piece = unit[end - lengths[end]:end]
+        out += [known.table[piece][0]] if piece in known.table else [known.first_byte + b for b in reversed(piece.encode())]
+        end -= lengths[end]
+    return out[::-1]
+
+
+def lattice_ids(units: DataFrame, spark: SparkSession, path: str | None) -> DataFrame:
+    """``unit`` and ``ids`` (big-endian, ``Pieces.width`` bytes each) of distinct units; partitioned by unit before and
+    after, so nothing moves. An edge is its end, length and id, negative for a character that is no piece."""
     known = pieces(path)
     table = F.broadcast(spark.createDataFrame(known.rows, "piece string, id int, score double"))  # fixed by the vocabulary
     n = F.length("unit")
     cut = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(known.longest), n - i)), lambda k: F.struct(
         F.substring(F.col("unit"), i + 1, k).alias("piece"), (i + k).alias("end"), k.alias("len")))
-    edges = units.select("unit", keep, F.explode(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), cut))).alias("s")).select(
-        "unit", keep, "s.piece", "s.end", "s.len").join(table, "piece", "left").where("id IS NOT NULL OR len = 1")
-    digits = F.hex(F.encode("piece", "UTF-8"))
-    spelled = F.transform(F.sequence(F.lit(1), F.length(digits), F.lit(2)),
-                          lambda at: F.conv(F.substring(digits, at, F.lit(2)), 16, 10).cast("int") + known.first_byte)
-    edges = edges.select("unit", keep, F.struct(
-        "end", "len", F.coalesce("score", F.lit(UNKNOWN)).alias("score"),
-        F.when(F.col("id").isNull(), spelled).otherwise(F.array("id")).alias("ids")).alias("edge"))
-    grouped = edges.groupBy("unit").agg(F.first(keep).alias(keep), F.collect_list("edge").alias("edges"))
+    edges = units.select("unit", F.explode(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), cut))).alias("s")).select(
+        "unit", "s.piece", "s.end", "s.len").join(table, "piece", "left").where("id IS NOT NULL OR len = 1")
+    grouped = edges.groupBy("unit").agg(F.collect_list(F.struct(
+        "end", "len", F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce("score", F.lit(UNKNOWN)).alias("score"))).alias("edges"))
+    digits = 2 * known.width
+
+    def written(e: Column, end: Column) -> Column:
+        """Hex digits of an edge's ids."""
+        raw = F.hex(F.encode(F.substring(F.col("unit"), end, F.lit(1)), "UTF-8"))
+        byte = lambda at: F.lpad(F.hex(F.conv(F.substring(raw, at, F.lit(2)), 16, 10).cast("int") + known.first_byte), digits, "0")
+        return F.when(e["id"] >= 0, F.lpad(F.hex(e["id"]), digits, "0")).otherwise(
+            F.array_join(F.transform(F.sequence(F.lit(1), F.length(raw), F.lit(2)), byte), ""))
 
     def step(best: Column, end: Column) -> Column:
         into = F.filter("edges", lambda e: e["end"] == end)
-        reached = F.transform(into, lambda e: F.struct((F.get(best, end - e["len"])["score"] + e["score"]).alias("score"), e["len"].alias("len"),
-                                                       e["ids"].alias("ids")))
+        reached = F.transform(into, lambda e: F.struct((F.get(best, end - e["len"])["score"] + e["score"]).alias("score"), e["len"].alias("len"), e["id"].alias("id")))
         return F.concat(best, F.transform(F.array(F.array_max(reached)), lambda top: F.struct(
-            top["score"].alias("score"), F.concat(F.get(best, end - top["len"])["ids"], top["ids"]).alias("ids"))))
+            top["score"].alias("score"), F.concat(F.get(best, end - top["len"])["ids"], written(top, end)).alias("ids"))))
 
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit("").alias("ids")))
     folded = F.aggregate(F.sequence(F.lit(1), F.length("unit")), start, step, lambda best: F.element_at(best, -1)["ids"])
-    return grouped.select("unit", keep, folded.alias("ids"))
+    return grouped.select("unit", F.unhex(folded).alias("ids"))
+
+
+def framed(dealt: DataFrame) -> DataFrame:
+    """``__block, frame``: the rows of a batch that go to one block, as one compressed Arrow stream."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            block = batch.column(BLOCK).to_numpy()
+            order = np.argsort(block, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(order) else []:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema) as writer:
+                    writer.write_table(table.take(rows))
+                frame = zstandard.compress(sink.getvalue(), 3)
+                yield pa.RecordBatch.from_pydict({BLOCK: [block[rows[0]]], "frame": [frame]}, schema=pa.schema([(BLOCK, pa.int32()), ("frame", pa.binary())]))
+
+    return dealt.mapInArrow(run, f"{BLOCK} int, frame binary")
+
+
+def unframed(frames: pa.Table) -> pa.Table | None:
+    """The rows of a block; none for no frames."""
+    tables = [pa.ipc.open_stream(zstandard.decompress(x.as_py())).read_all() for x in frames["frame"]]
+    return pa.concat_tables(tables) if tables else None
 
 
 def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: dict[str, Column] | None = None, path: str | None = None,
@@ -103,38 +159,51 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: d
     """The columns of ``carry`` (the key by default) and ``ids`` of every row."""
     carry = carry or {key: F.col(key)}
     carried = [f"__c{i}" for i in range(len(carry))]
-    dealt = blocks.deal(docs, key=key, text=text, carry={f"__c{i}": c for i, c in enumerate(carry.values())}, block_bytes=block_bytes)
-
-    def asked(table: pa.Table) -> pa.Table:
-        units = sorted({u for x in table[BODY] for u in units_of(x.as_py())})
-        block = np.full(len(units), table[BLOCK][0].as_py() if table.num_rows else 0, dtype=np.int32)
+    spark = docs.sparkSession
+    whole = blocks.deal(docs, key=key, text=text, carry={f"__c{i}": c for i, c in enumerate(carry.values())}, block_bytes=block_bytes)
+    dealt = framed(whole.drop(blocks.KEY))
+    n_blocks = blocks_for(docs, text, block_bytes)
+    numbers = {2: ">u2", 4: ">u4"}[pieces(path).width]
+
+    def short_units(table: pa.Table) -> list[str]:
+        return sorted({u for x in table[BODY] for u in units_of(x.as_py()) if len(u) <= LONG_UNIT})
+
+    def asked(frames: pa.Table) -> pa.Table:
+        table = unframed(frames)
+        units = [] if table is None else short_units(table)
+        block = np.full(len(units), frames[BLOCK][0].as_py() if frames.num_rows else 0, dtype=np.int32)
         return pa.table({BLOCK: block, "place": np.arange(len(units), dtype=np.int32), "unit": pa.array(units, pa.string())})
 
-    questions = blocks.ask(dealt, asked, f"{BLOCK} int, place int, unit string")
-    units = questions.groupBy("unit").agg(F.collect_list(F.struct(BLOCK, "place")).alias("places"))  # at most one per block
-    answers = lattice_ids(units, docs.sparkSession, path, "places").select(F.explode("places").alias("p"), "ids").select(
-        f"p.{BLOCK}", "p.place", "ids")
+    # Four parts a block keep the edges of a task small. One shuffle by unit serves both sides of the join.
+    questions = blocks.ask(dealt, asked, f"{BLOCK} int, place int, unit string").repartition(4 * n_blocks, "unit")
+    answers = questions.join(lattice_ids(questions.select("unit").distinct(), spark, path), "unit").select(BLOCK, "place", "ids")
 
-    def applied(texts: pa.Table, known: pa.Table) -> pa.Table:
+    def applied(frames: pa.Table, answered: pa.Table) -> pa.Table:
+        texts = unframed(frames)
+        if texts is None:
+            return schema_table.slice(0, 0)
+        known = pieces(path)
         seen: dict[str, int] = {}
         split = [np.array([seen.setdefault(u, len(seen)) for u in units_of(x.as_py())], dtype=np.int64) for x in texts[BODY]]
+        raw = answered["ids"].take(pa.array(np.argsort(answered["place"].to_numpy()))).to_pylist()
         number = np.empty(len(seen), np.int64)
-        number[[seen[u] for u in sorted(seen)]] = np.arange(len(seen))
-        lists = known["ids"].combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        order = np.argsort(known["place"].to_numpy())
-        first, last = lists.offsets.to_numpy()[:-1][order], lists.offsets.to_numpy()[1:][order]
-        flat = lists.values.to_numpy() if len(lists) else np.zeros(0, np.int32)
+        short, long = sorted(u for u in seen if len(u) <= LONG_UNIT), [u for u in seen if len(u) > LONG_UNIT]
+        number[[seen[u] for u in short + long]] = np.arange(len(seen))
+        raw += [np.array(best_ids(u, known), dtype=numbers).tobytes() for u in long]
+        last = np.cumsum([len(x) // known.width for x in raw], dtype=np.int64)
+        first = np.concatenate([np.zeros(1, np.int64), last])[:-1]
+        flat = np.frombuffer(b"".join(raw), dtype=numbers).astype(np.int32)
         out = []
         for units in split:
             at = number[units]
             sizes = last[at] - first[at]
             inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            out.append(flat[np.repeat(first[at], sizes) + inside].astype(np.int32))
+            out.append(flat[np.repeat(first[at], sizes) + inside])
         return pa.table({c: texts[c] for c in carried} | {"ids": pa.array(out, pa.list_(pa.int32()))})
 
-    types = dict(dealt.dtypes)
+    types = dict(whole.dtypes)
     schema = ", ".join([*[f"{c} {types[c]}" for c in carried], "ids array<int>"])
+    schema_table = to_arrow_schema(whole.select(*carried, F.array().cast("array<int>").alias("ids")).schema).empty_table()
     return blocks.answer(dealt, answers, applied, schema).withColumnsRenamed(dict(zip(carried, carry, strict=True)))
 
 

@@ -279,3 +279,15 @@ def test_runs_of_a_million_letters_or_blanks_are_packed(spark):
     for text in (" " * 1_000_000, "a b" + "\n" * 120_000 + "c", "word " * 50_000):
         want = np.asarray(slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         assert packing.encoder(None).encode(text) == want
+
+
+def test_long_units_are_not_cut(spark):
+    known = pieces.pieces(None)
+    scores, ids_of = {n: s for n, _, s in known.rows}, {n: i for n, i, _ in known.rows}
+    texts = ["-" * 200, "internationalization" * 10, "ab" * 2500, "x" + "=" * 65, "\u4e2d\u6587" * 80, "short one"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.ids for r in pieces.encode(table).collect()}
+    for i, text in enumerate(texts):
+        parts = best_segmentation(pieces.MARK + text.replace(" ", pieces.MARK), scores)
+        assert rows[i] == [x for p in parts for x in ([ids_of[p]] if p in ids_of else [known.first_byte + b for b in p.encode()])], text[:10]
+    assert pieces.text_of(pieces.best_ids(pieces.MARK + "a" * 300_000, known), known) == "a" * 300_000
