@@ -105,10 +105,10 @@ def lattice_ids(units: DataFrame, spark: SparkSession, path: str | None) -> Data
     known = pieces(path)
     table = F.broadcast(spark.createDataFrame(known.rows, "piece string, id int, score double"))  # fixed by the vocabulary
     n = F.length("unit")
-    cut = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(known.longest), n - i)), lambda k: F.struct(
-        F.substring(F.col("unit"), i + 1, k).alias("piece"), (i + k).alias("end"), k.alias("len")))
-    edges = units.select("unit", F.explode(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), cut))).alias("s")).select(
-        "unit", "s.piece", "s.end", "s.len").join(table, "piece", "left").where("id IS NOT NULL OR len = 1")
+    spans = units.select("unit", F.explode(F.sequence(F.lit(1), n)).alias("start")).select(
+        "unit", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(known.longest), n - F.col("start") + 1))).alias("len"))
+    edges = spans.select("unit", (F.col("start") + F.col("len") - 1).alias("end"), "len", F.substring(F.col("unit"), F.col("start"), F.col("len")).alias("piece")).join(
+        table, "piece", "left").where("id IS NOT NULL OR len = 1")
     grouped = edges.groupBy("unit").agg(F.collect_list(F.struct(
         "end", "len", F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce("score", F.lit(UNKNOWN)).alias("score"))).alias("edges"))
     digits = 2 * known.width
@@ -155,7 +155,7 @@ def unframed(frames: pa.Table) -> pa.Table | None:
 
 
 def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: dict[str, Column] | None = None, path: str | None = None,
-           block_bytes: int = 2 * blocks.BLOCK_BYTES) -> DataFrame:
+           block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
     """The columns of ``carry`` (the key by default) and ``ids`` of every row."""
     carry = carry or {key: F.col(key)}
     carried = [f"__c{i}" for i in range(len(carry))]
@@ -176,7 +176,9 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: d
 
     # Four parts a block keep the edges of a task small. One shuffle by unit serves both sides of the join.
     questions = blocks.ask(dealt, asked, f"{BLOCK} int, place int, unit string").repartition(4 * n_blocks, "unit")
-    answers = questions.join(lattice_ids(questions.select("unit").distinct(), spark, path), "unit").select(BLOCK, "place", "ids")
+    # Both read all its columns, so that the shuffle is the same for both.
+    units = questions.groupBy("unit").agg(F.max(F.col(BLOCK) + F.col("place")).alias("seen")).where("seen IS NOT NULL").select("unit")
+    answers = questions.join(lattice_ids(units, spark, path), "unit").select(BLOCK, "place", "ids")
 
     def applied(frames: pa.Table, answered: pa.Table) -> pa.Table:
         texts = unframed(frames)
