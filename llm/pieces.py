@@ -223,7 +223,7 @@ def decode(encoded: DataFrame, *, ids: str = "ids", path: str | None = None) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(path)
         for batch in batches:
-            texts = pa.array([None if x is None else text_of(x, known) for x in batch.column(place).to_pylist()], pa.string())
+            texts = pa.array([text_of(x.as_py(), known) if x.is_valid else None for x in batch.column(place)], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
@@ -233,7 +233,7 @@ def lossless(decoded: DataFrame, *, key: str = "doc_id", crc: str = "given_crc32
     """``key``, number and crc32 of the ids (as little-endian 32-bit numbers), crc32 of the decoded text, and whether ``crc`` is that."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         for batch in batches:
-            ids = [np.asarray(x, dtype="<u4") for x in batch.column(1).to_pylist()]
+            ids = [np.asarray(x.values.to_numpy() if x.is_valid else [], dtype="<u4") for x in batch.column(1)]
             back, given = [zlib.crc32(x) for x in as_bytes(batch.column(2))], batch.column(3).to_pylist()
             yield {"key": batch.column(0), "n_tokens": [len(x) for x in ids], "ids_crc32": [zlib.crc32(x.tobytes()) for x in ids],
                    "text_crc32": back, "same_text": [a == b for a, b in zip(back, given, strict=True)]}
