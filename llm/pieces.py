@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from llm import blocks
 from llm.blocks import BLOCK, BODY
-from llm.common import as_bytes, blocks_for, map_arrow
+from llm.common import blocks_for, map_arrow
 
 MARK = "▁"
 #: Longer units are searched where their text is; no result depends on it.
@@ -59,6 +59,8 @@ class Pieces:
                      if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         self.first_byte = model.piece_to_id("<0x00>")
         self.longest = max(len(name) for name, _, _ in self.rows)
+        byte_tokens = range(self.first_byte, self.first_byte + 256)
+        self.raw = [bytes([i - self.first_byte]) if i in byte_tokens else name.encode() for i, name in enumerate(self.names)]
         self.table = {name: (i, score) for name, i, score in self.rows}
         #: Ids travel as big-endian numbers of this many bytes.
         self.width = 2 if len(self.names) <= 1 << 16 else 4
@@ -209,9 +211,11 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: d
     return blocks.answer(dealt, answers, applied, schema).withColumnsRenamed(dict(zip(carried, carry, strict=True)))
 
 
-def text_of(ids: list[int], known: Pieces) -> str:
-    """Pieces and byte tokens back to text: marks become spaces, the first one goes."""
-    raw = b"".join(bytes([i - known.first_byte]) if known.first_byte <= i < known.first_byte + 256 else known.names[i].encode() for i in ids)
+def text_of(ids: pa.Scalar, known: Pieces) -> str | None:
+    """Pieces and byte tokens of a list of ids back to text: marks become spaces, the first one goes. Null for null."""
+    if not ids.is_valid:
+        return None
+    raw = b"".join(map(known.raw.__getitem__, ids.values.to_numpy(zero_copy_only=False).tolist()))
     return raw.decode("utf-8", "replace").replace(MARK, " ")[1:]
 
 
@@ -223,21 +227,23 @@ def decode(encoded: DataFrame, *, ids: str = "ids", path: str | None = None) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(path)
         for batch in batches:
-            texts = pa.array([text_of(x.as_py(), known) if x.is_valid else None for x in batch.column(place)], pa.string())
+            texts = pa.array([text_of(x, known) for x in batch.column(place)], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
 
 
-def lossless(decoded: DataFrame, *, key: str = "doc_id", crc: str = "given_crc32") -> DataFrame:
-    """``key``, number and crc32 of the ids (as little-endian 32-bit numbers), crc32 of the decoded text, and whether ``crc`` is that."""
+def lossless(encoded: DataFrame, *, key: str = "doc_id", crc: str = "given_crc32", path: str | None = None) -> DataFrame:
+    """``key``, number and crc32 of the ids (as little-endian 32-bit numbers), crc32 of the text they decode to, and whether
+    ``crc`` is that. Texts are decoded one at a time where they are digested."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        known = pieces(path)
         for batch in batches:
-            ids = [np.asarray(x.values.to_numpy() if x.is_valid else [], dtype="<u4") for x in batch.column(1)]
-            back, given = [zlib.crc32(x) for x in as_bytes(batch.column(2))], batch.column(3).to_pylist()
+            ids = [np.asarray(x.values.to_numpy(zero_copy_only=False) if x.is_valid else [], dtype="<u4") for x in batch.column(1)]
+            back, given = [zlib.crc32((text_of(x, known) or "").encode()) for x in batch.column(1)], batch.column(2).to_pylist()
             yield {"key": batch.column(0), "n_tokens": [len(x) for x in ids], "ids_crc32": [zlib.crc32(x.tobytes()) for x in ids],
                    "text_crc32": back, "same_text": [a == b for a, b in zip(back, given, strict=True)]}
 
     arrow = pa.schema([*[(n, pa.int64()) for n in ("key", "n_tokens", "ids_crc32", "text_crc32")], ("same_text", pa.bool_())])
-    narrow = decoded.select(F.col(key).cast("long").alias("key"), "ids", "decoded", F.col(crc).cast("long").alias("crc"))
+    narrow = encoded.select(F.col(key).cast("long").alias("key"), "ids", F.col(crc).cast("long").alias("crc"))
     return map_arrow(narrow, "key long, n_tokens long, ids_crc32 long, text_crc32 long, same_text boolean", arrow, rows).withColumnRenamed("key", key)

@@ -8,6 +8,7 @@ from itertools import product
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm import ctw, langid, packing, pieces, queries
@@ -249,6 +250,19 @@ def test_lattice_equals_dynamic_programming(spark, small_folder, tricky, nothing
     assert pieces.encode(nothing).count() == 0
 
 
+def test_digests_are_those_of_the_decoded_text(spark, tricky):
+    docs = tricky.select("doc_id", "text").withColumn("given_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    encoded = pieces.encode(docs, carry={c: docs[c] for c in ("doc_id", "given_crc32")})
+    encoded = encoded.union(spark.createDataFrame([(-1, 0, None), (-2, 1, None), (-3, 0, [])], encoded.schema))
+    numbers = lambda ids: np.array(ids or [], dtype="<u4").tobytes()
+    want = [(r.doc_id, len(r.ids or []), zlib.crc32(numbers(r.ids)), zlib.crc32((r.decoded or "").encode())) for r in pieces.decode(encoded).collect()]
+    got = pieces.lossless(encoded).collect()
+    order = lambda rows: sorted(rows, key=str)
+    assert order(tuple(r)[:4] for r in got) == order(want)
+    given = {r.doc_id: r.given_crc32 for r in encoded.collect() if r.doc_id is not None and r.doc_id < 0}
+    assert all(r.same_text == (r.text_crc32 == given[r.doc_id]) for r in got if r.doc_id in given)
+
+
 def test_no_piece_crosses_units():
     for name, _, _ in pieces.pieces(None).rows:
         assert pieces._UNIT.findall(name) == [name] or name == "²."
