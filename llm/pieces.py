@@ -107,7 +107,8 @@ def lattice_ids(units: DataFrame, spark: SparkSession, path: str | None) -> Data
     known = pieces(path)
     table = F.broadcast(spark.createDataFrame(known.rows, "piece string, id int, score double"))  # fixed by the vocabulary
     n = F.length("unit")
-    spans = units.select("unit", F.explode(F.sequence(F.lit(1), n)).alias("start")).select(
+    # In order of units, so that the grouping, which sorts by them, finds them sorted.
+    spans = units.sortWithinPartitions("unit").select("unit", F.explode(F.sequence(F.lit(1), n)).alias("start")).select(
         "unit", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(known.longest), n - F.col("start") + 1))).alias("len"))
     edges = spans.select("unit", (F.col("start") + F.col("len") - 1).alias("end"), "len", F.substring(F.col("unit"), F.col("start"), F.col("len")).alias("piece")).join(
         table, "piece", "left").where("id IS NOT NULL OR len = 1")
