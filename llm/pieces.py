@@ -189,22 +189,26 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: d
             return schema_table.slice(0, 0)
         known = pieces(path)
         seen: dict[str, int] = {}
-        split = [np.array([seen.setdefault(u, len(seen)) for u in units_of(x.as_py())], dtype=np.int64) for x in texts[BODY]]
+        split = [np.array([seen.setdefault(u, len(seen)) for u in units_of(x.as_py())], dtype=np.int32) for x in texts[BODY]]
         raw = answered["ids"].take(pa.array(np.argsort(answered["place"].to_numpy()))).to_pylist()
         number = np.empty(len(seen), np.int64)
         short, long = sorted(u for u in seen if len(u) <= LONG_UNIT), [u for u in seen if len(u) > LONG_UNIT]
         number[[seen[u] for u in short + long]] = np.arange(len(seen))
         raw += [np.array(best_ids(u, known), dtype=numbers).tobytes() for u in long]
+        del seen, short, long
         last = np.cumsum([len(x) // known.width for x in raw], dtype=np.int64)
         first = np.concatenate([np.zeros(1, np.int64), last])[:-1]
         flat = np.frombuffer(b"".join(raw), dtype=numbers).astype(np.int32)
-        out = []
-        for units in split:
+        del raw
+        ends = np.zeros(len(split) + 1, np.int64)
+        ends[1:] = np.cumsum([(last[number[units]] - first[number[units]]).sum() for units in split])
+        ids = np.empty(ends[-1], np.int32)
+        for units, start, end in zip(split, ends[:-1], ends[1:], strict=True):
             at = number[units]
             sizes = last[at] - first[at]
-            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            out.append(flat[np.repeat(first[at], sizes) + inside])
-        return pa.table({c: texts[c] for c in carried} | {"ids": pa.array(out, pa.list_(pa.int32()))})
+            inside = np.arange(end - start) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            ids[start:end] = flat[np.repeat(first[at], sizes) + inside]
+        return pa.table({c: texts[c] for c in carried} | {"ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))})
 
     types = dict(whole.dtypes)
     schema = ", ".join([*[f"{c} {types[c]}" for c in carried], "ids array<int>"])
