@@ -216,11 +216,13 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: d
     return blocks.answer(dealt, answers, applied, schema).withColumnsRenamed(dict(zip(carried, carry, strict=True)))
 
 
-def text_of(ids: pa.Scalar, known: Pieces) -> str | None:
+def text_of(ids: pa.Scalar | list[int] | None, known: Pieces) -> str | None:
     """Pieces and byte tokens of a list of ids back to text: marks become spaces, the first one goes. Null for null."""
-    if not ids.is_valid:
+    if isinstance(ids, pa.Scalar):
+        ids = ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else None
+    if ids is None:
         return None
-    raw = b"".join(map(known.raw.__getitem__, ids.values.to_numpy(zero_copy_only=False).tolist()))
+    raw = b"".join(map(known.raw.__getitem__, ids))
     return raw.decode("utf-8", "replace").replace(MARK, " ")[1:]
 
 
