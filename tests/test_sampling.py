@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from pyspark.sql import functions as F
@@ -131,6 +132,30 @@ def test_cells_beyond_the_deepest_deal(spark, monkeypatch):
     assert got == {i: i - 1 if i else 1 for i in range(900)}
 
 
+def test_products_find_what_plain_distances_find(monkeypatch):
+    rng = np.random.default_rng(11)
+    far_off = rng.integers(0, 4, size=(900, 5)) + 1e6 + np.round(rng.normal(size=(900, 5)), 1) * (rng.random((900, 1)) < 0.5)
+    left = pd.DataFrame({"rep": np.arange(300) * 3, "v": list(far_off[:300]), "cell": [f"c{i % 7}" for i in range(300)]})
+    right = pd.DataFrame({"rep": np.arange(600)[::-1] * 3 + 1, "v": list(far_off[300:]), "cell": [f"c{i % 9}" for i in range(600)]})
+    left["far"] = np.where(left["rep"] % 2 == 0, np.inf, 2.0)
+
+    def rows(table):
+        return sorted(zip(table["rep"].astype(int), table["distance"], table["other"].astype(int), strict=True))
+
+    want = {}
+    distances = smote._distances(far_off[:300], far_off[300:])
+    for i in range(300):
+        met = [(distances[i, j], int(right["rep"][j])) for j in range(600)
+               if right["cell"][j] != left["cell"][i] and distances[i, j] <= left["far"][i]]
+        want.update({(int(left["rep"][i]), d, r): True for d, r in sorted(met)[:6]})
+    # No table of all distances is made for finite vectors.
+    monkeypatch.setattr(smote, "_distances", None)
+    monkeypatch.setattr(smote, "PRODUCT_CELLS", 5000)
+    assert rows(smote._search_all(left, right, 6)) == sorted(want)
+    inside = smote._closest(right, right, 4)
+    assert len(inside) == 2400 and (inside.groupby("rep")["distance"].min() == 0).all()
+
+
 def test_smote_fills_up_the_minority_on_segments(spark):
     rng = random.Random(4)
     data = [(i, int(i >= 90), [rng.gauss(0, 1), rng.gauss(2 * (i >= 90), 1)]) for i in range(100)]
