@@ -276,3 +276,27 @@ def test_explain_by_model_kind(spark, matrix, forest):
     assert result.dependence.count() == 30
     total = result.waterfall.agg(F.sum("phi")).first()[0] + result.base
     assert total == pytest.approx(result.case.first()["score"], abs=1e-9)
+
+
+def test_leaves_add_their_shapley_values_piece_by_piece():
+    rng = np.random.default_rng(5)
+    m, n_leaves, n_rows, width = 4, 9000, 3, 6
+    features = np.stack([rng.choice(width, m, replace=False) for _ in range(n_leaves)])
+    lows = np.where(rng.random((n_leaves, m)) < 0.5, -np.inf, rng.normal(size=(n_leaves, m)) - 1)
+    highs = np.where(rng.random((n_leaves, m)) < 0.5, np.inf, rng.normal(size=(n_leaves, m)) + 1)
+    shares, values = rng.uniform(0.1, 0.9, size=(n_leaves, m)), rng.normal(size=n_leaves)
+    x = rng.normal(size=(n_rows, width))
+    want = np.zeros((n_rows, width))
+    for i in range(n_rows):
+        passes = ((x[i][features] > lows) & (x[i][features] <= highs)).astype(float)
+        for j in range(m):
+            rest = [k for k in range(m) if k != j]
+            for size in range(m):
+                for camp in itertools.combinations(rest, size):
+                    others = np.prod([passes[:, k] if k in camp else shares[:, k] for k in rest], axis=0)
+                    share = math.factorial(size) * math.factorial(m - size - 1) / math.factorial(m)
+                    np.add.at(want[i], features[:, j], share * values * others * (passes[:, j] - shares[:, j]))
+    phi = np.zeros((n_rows, width))
+    # Several pieces of leaves for so few rows; a piece fits the cache.
+    at._add_leaves(phi, x, (values, features, lows, highs, shares))
+    assert np.abs(phi - want).max() < 1e-9
