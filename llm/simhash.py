@@ -9,9 +9,9 @@ fingerprints are tabled, pairs whose tables differ by more than ``r`` in any coo
 are verified. A cell sends a spanning tree of what it linked, not its pairs. Components follow by passing on the
 smallest label and jumping along labels; every round is written to the shared folder.
 
-The pipeline's stage keeps one document of each class of five-word Jaccard similarity of 0.8 or more. No radius of a
-fingerprint finds all such pairs, so candidates come from a filter that misses none (:func:`prefixes`), and a pair is
-counted from both shingle sets.
+The pipeline's stage keeps one document of each class of five-word Jaccard similarity of 0.8 or more. Fingerprints of
+the sets link documents first (:func:`fingerprint_pairs`). No radius of a fingerprint finds all such pairs, so what is
+still apart meets by a filter that misses none (:func:`prefixes`). A pair of either kind is counted from both shingle sets.
 
 Edge cases: a null or empty text has fingerprint zero, which links like any other; null keys take part but never name
 a component unless all its keys are null (then the name is null); repeated rows are returned as often as they occur;
@@ -39,6 +39,9 @@ PIVOTS = np.array(list(accumulate(range(32), lambda x, _: (x * 63641362238467930
 #: Buckets that order shingles from rare to common.
 COMMON_BUCKETS = 1 << 21
 
+#: Bits of the parities that rows of a cell carry to each other.
+COARSE_BITS = 2048
+
 
 def shingle_hashes(raw: bytes, shingle: int, seed: int) -> list[int]:
     """XXH64 of every run of ``shingle`` words; a shorter text is one shingle."""
@@ -54,11 +57,8 @@ def shingle_hashes(raw: bytes, shingle: int, seed: int) -> list[int]:
     return [digest(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1:], strict=False)]
 
 
-def fingerprint(raw: bytes, shingle: int = 4, seed: int = 42) -> int:
-    """Signed 64-bit fingerprint of one text."""
-    hashes = shingle_hashes(raw, shingle, seed)
-    if not hashes:
-        return 0
+def majority(hashes: list[int] | np.ndarray) -> int:
+    """Signed 64-bit number with the bits that over half of the hashes have."""
     total = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[i:i + (1 << 16)], dtype="<u8")
@@ -66,6 +66,11 @@ def fingerprint(raw: bytes, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits((2 * total > len(hashes)).astype(np.uint8), bitorder="little").view("<i8")[0])
 
 
+def fingerprint(raw: bytes, shingle: int = 4, seed: int = 42) -> int:
+    """Signed 64-bit fingerprint of one text."""
+    return majority(shingle_hashes(raw, shingle, seed))
+
+
 def row_id(key: str, text: str) -> Column:
     """A number for a row that only rows equal in key and text share (but for chance)."""
     return F.xxhash64(F.col(key).cast("string"), F.col(text).cast("string"))
@@ -278,6 +283,13 @@ def long_parities(hashes: np.ndarray) -> np.ndarray:
     return parities(hashes, max(256, 1 << (2 * len(hashes) - 1).bit_length()) if len(hashes) else 256)
 
 
+def coarse(bits: np.ndarray, most: int = COARSE_BITS // 64) -> np.ndarray:
+    """Parities folded to at most ``most`` longs."""
+    while len(bits) > most:
+        bits = bits[:len(bits) // 2] ^ bits[len(bits) // 2:]
+    return bits
+
+
 def parities_differ(a: str, b: str) -> Column:
     """In how many bits two columns of long parities differ; the finer one is folded to the coarser."""
     def folded(x: str, to: str) -> Column:
@@ -373,23 +385,32 @@ def sets_of(docs: DataFrame, rows: DataFrame, *, shingle: int, buckets: int = CO
     return shingled(docs, made, arrow, "id long, hashes array<long>", shingle=shingle, rows=wanted)
 
 
+def fingerprint_pairs(marks: DataFrame, distance: int = 4) -> DataFrame:
+    """Pairs ``a, b`` of ``id`` that tie sets of one fingerprint, and of two that differ in at most ``distance`` bits."""
+    one = materialize(marks.groupBy("fp").agg(F.min("id").alias("one")), "prints")
+    same = marks.select("id", "fp").join(one, "fp").select("id", "one")
+    first, second = (one.select(F.col("fp").alias(x), F.col("one").alias(f"one_{x}")) for x in ("a", "b"))
+    linked = links(one.select("fp"), distance).join(first, "a").join(second, "b").select("one_a", "one_b")
+    pairs = same.unionAll(linked).select(F.least("id", "one").alias("a"), F.greatest("id", "one").alias("b"))
+    return materialize(pairs.where("a < b").distinct(), "fingerprint-pairs")
+
+
 def similar(docs: DataFrame, marks: DataFrame, *, shingle: int) -> DataFrame:
     """Pairs ``a, b`` of ``id`` whose components are those of all pairs with Jaccard similarity of 0.8 or more.
 
-    Rows of a cell meet two leaders of the cell first, which ties families together; then rows that are still apart meet
-    each other. Pairs whose sizes, places in the order or parities (in ``marks``) leave too few shingles to share are not
-    compared; a pair that is left is counted exactly from both sets.
+    Sets with close fingerprints are tied first. Then rows of a cell meet two leaders of the cell, which ties the rest of a
+    family together, and rows that are still apart meet each other. Pairs whose sizes, places in the order or parities (in
+    ``marks``) leave too few shingles to share are not compared; a pair that is left is counted exactly from both sets.
     """
     bits = [f"p{i}" for i in range(4)]
     own = ["id", "n", "at", *bits]
-    cells = materialize(shared_prefixes(prefixes(docs, shingle=shingle)).join(marks.select("id", "n", *bits), "id").select("cell", *own), "shared-prefixes")
 
-    def near(left: DataFrame, right: DataFrame, apart: Column) -> DataFrame:
+    def near(left: DataFrame, right: DataFrame, possible: Column) -> DataFrame:
         differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_2"))) for p in bits), F.lit(0))
-        possible = (9 * F.least(F.col("n") - F.col("at"), F.col("n_2") - F.col("at_2")) >= 4 * (F.col("n") + F.col("n_2"))) & (
-            9 * differ <= F.col("n") + F.col("n_2"))
-        return materialize(left.join(right, "cell").where(apart & possible).select(
-            F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), "pairs")
+        met = left.join(right, "cell").where(
+            (9 * F.least(F.col("n") - F.col("at"), F.col("n_2") - F.col("at_2")) >= 4 * (F.col("n") + F.col("n_2")))
+            & (9 * differ <= F.col("n") + F.col("n_2")) & possible)
+        return materialize(met.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), "pairs")
 
     def true(pairs: DataFrame) -> DataFrame:
         one, two = (marks.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in ("a", "b"))
@@ -400,16 +421,28 @@ def similar(docs: DataFrame, marks: DataFrame, *, shingle: int) -> DataFrame:
         shared = F.size(F.array_intersect("own", "theirs"))
         return pairs.join(one, "a").join(two, "b").where(9 * shared >= 4 * (F.size("own") + F.size("theirs"))).select("a", "b")
 
-    leader = lambda seed: F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), *own))
+    def labelled(rows: DataFrame, tied: DataFrame, label: str) -> DataFrame:
+        labels = materialize(components(tied), f"{label}-labels")
+        return rows.join(labels, F.col("id") == F.col("node"), "left").withColumn("label", F.coalesce("label", "id")).drop("node")
+
+    def still_apart(rows: DataFrame) -> DataFrame:
+        cells = rows.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(F.col("cell").alias("of"))
+        return rows.join(cells, F.col("cell") == F.col("of"), "left_semi")
+
+    def others(rows: DataFrame) -> DataFrame:
+        return rows.select("cell", *[F.col(c).alias(f"{c}_2") for c in rows.columns if c != "cell"])
+
+    alike = materialize(true(fingerprint_pairs(marks)), "alike")
+    cells = shared_prefixes(prefixes(docs, shingle=shingle)).join(labelled(marks.select("id", "n", *bits), alike, "alike"), "id")
+    cells = materialize(cells.select("cell", "label", *own), "shared-prefixes")
+    leader = lambda seed: F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "label", *own))
     leaders = cells.groupBy("cell").agg(F.array(leader(0), leader(1)).alias("two")).select("cell", F.explode("two").alias("s")).select(
-        "cell", *[F.col(f"s.{c}").alias(f"{c}_2") for c in own])
-    tied = materialize(true(near(cells, leaders, F.col("id") != F.col("id_2"))), "tied")
-    labels = materialize(components(tied), "tied-labels")
-    labelled = cells.join(labels, F.col("id") == F.col("node"), "left").select("cell", *own, F.coalesce("label", "id").alias("label"))
-    apart = labelled.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(F.col("cell").alias("of"))
-    labelled = materialize(labelled.join(apart, F.col("cell") == F.col("of")).drop("of"), "apart")
-    other = labelled.select("cell", *[F.col(c).alias(f"{c}_2") for c in [*own, "label"]])
-    return materialize(tied.union(true(near(labelled, other, F.col("label") < F.col("label_2")))), "similar")
+        "cell", *[F.col(f"s.{c}").alias(c) for c in ("label", *own)])
+    tied = materialize(alike.union(true(near(cells, others(leaders), F.col("label") != F.col("label_2")))), "tied")
+    apart = still_apart(labelled(cells.drop("label"), tied, "tied"))
+    apart = materialize(apart.join(marks.select("id", "coarse"), "id"), "apart")
+    possible = (F.col("label") < F.col("label_2")) & (9 * parities_differ("coarse", "coarse_2") <= F.col("n") + F.col("n_2"))
+    return materialize(tied.union(true(near(apart, others(apart), possible))), "similar")
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
@@ -421,18 +454,19 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingl
     def identified(batches: Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[dict[str, object]]:
         for batch, sets in batches:
             bits = np.array([parities(x) for x in sets], dtype=np.int64).reshape(-1, 4)
+            long = [long_parities(x) for x in sets]
             yield {"doc": batch.column(0), "row": batch.column(1), "id": set_ids(sets), "n": [len(x) for x in sets],
-                   "bits": [long_parities(x) for x in sets]} | {f"p{i}": bits[:, i] for i in range(4)}
+                   "fp": [majority(x) for x in sets], "bits": long, "coarse": [coarse(x) for x in long]} | {f"p{i}": bits[:, i] for i in range(4)}
 
     spark = docs.sparkSession
     narrow = docs.select(F.col(key).cast("long").alias("doc"), row_id(key, text).alias("row"), F.col(text).cast("string").alias("text"))
-    names = ["doc", "row", "id", "n", "p0", "p1", "p2", "p3"]
+    names = ["doc", "row", "id", "n", "fp", "p0", "p1", "p2", "p3"]
     order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
     out = scratch_path(spark, "kept")
     with scratch(spark):  # what the search wrote goes when the rows to keep are known
-        arrow = pa.schema([*[(n, pa.int64()) for n in names], ("bits", pa.list_(pa.int64()))])
-        found = shingled(narrow, identified, arrow, ", ".join(f"{n} long" for n in names) + ", bits array<long>", shingle=shingle)
-        marks = materialize(found.groupBy("id").agg(F.min(order).alias("first"), *[F.first(n).alias(n) for n in [*names[3:], "bits"]]), "marks")
+        arrow = pa.schema([*[(n, pa.int64()) for n in names], *[(n, pa.list_(pa.int64())) for n in ("bits", "coarse")]])
+        found = shingled(narrow, identified, arrow, ", ".join(f"{n} long" for n in names) + ", bits array<long>, coarse array<long>", shingle=shingle)
+        marks = materialize(found.groupBy("id").agg(F.min(order).alias("first"), *[F.first(n).alias(n) for n in [*names[3:], "bits", "coarse"]]), "marks")
         labels = components(similar(narrow, marks, shingle=shingle))
         least = marks.join(labels, F.col("id") == F.col("node"), "left").groupBy(F.coalesce("label", "id").alias("label")).agg(F.min("first").alias("least"))
         kept = least.select(F.col("least.row").alias("kept_row")).distinct()

@@ -167,6 +167,36 @@ def test_near_duplicates_are_those_of_all_jaccard_pairs(spark, small_folder):
     assert 40 < len(want) < len(texts)
 
 
+def test_fingerprints_link_near_copies(spark, monkeypatch):
+    """Without the filter by prefixes, copies whose fingerprints differ in few bits are still found."""
+    base = prose(8100, 400).split()
+    texts = [" ".join(base), " ".join([*base[:200], "other", *base[201:]]), " ".join(base[:399]), prose(8101, 400)]
+    prints = [simhash.majority(np.unique(np.array(simhash.shingle_hashes(t.encode(), 5, 42), dtype="<u8"))) for t in texts]
+    near = {i for i in range(1, 4) if (prints[i] ^ prints[0]) % 2**64 == 0 or bin((prints[i] ^ prints[0]) % 2**64).count("1") <= 4}
+    assert near and 3 not in near
+    plain = simhash.prefixes
+    monkeypatch.setattr(simhash, "prefixes", lambda docs, **settings: plain(docs, **settings).limit(0))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in simhash.keep_one(table).collect()} == {0, 1, 2, 3} - near
+
+
+def test_long_texts_with_shared_passages_are_told_apart_in_the_cells(spark, monkeypatch):
+    """Every two share seven tenths of their text, less than a class needs: no pair of them leaves the cells."""
+    base, met, plain = [f"w{i}" for i in range(900)], [], simhash.materialize
+    texts = [" ".join([*base[:70 * i], *[f"own{i}x{j}" for j in range(135)], *base[70 * i + 135:]]) for i in range(0, 11, 2)]
+
+    def watched(df, label="step", **settings):
+        out = plain(df, label, **settings)
+        if label == "pairs":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "materialize", watched)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert simhash.keep_one(table).count() == len(texts)
+    assert met[-1] == 0
+
+
 def test_chunks_do_not_shift():
     text = prose(7, 3000).encode()
     for cut in (0, 5, 700, 7001):
