@@ -322,3 +322,23 @@ def test_long_units_are_not_cut(spark):
         parts = best_segmentation(pieces.MARK + text.replace(" ", pieces.MARK), scores)
         assert rows[i] == [x for p in parts for x in ([ids_of[p]] if p in ids_of else [known.first_byte + b for b in p.encode()])], text[:10]
     assert pieces.text_of(pieces.best_ids(pieces.MARK + "a" * 300_000, known), known) == "a" * 300_000
+
+
+def test_grams_of_a_block_move_a_few_times_only(monkeypatch):
+    """Counting 64 slices moves each gram about as often as 64 can be halved, and counts what one pass counts."""
+    pick, moved, merged, slices = np.random.default_rng(5), [], ctw.merged, ctw.slices
+    texts = [ctw.spelled(pick.integers(97, 123, 2500).astype(np.uint8).tobytes()) for _ in range(128)]
+    own = np.arange(128) % 3 > 0
+    code, place = ctw.contexts(texts, 5)
+    want, at = np.unique(code, return_inverse=True)
+
+    def watched(parts):
+        moved.append(sum(len(gram) for gram, _ in parts))
+        return merged(parts)
+
+    monkeypatch.setattr(ctw, "merged", watched)
+    monkeypatch.setattr(ctw, "slices", lambda texts: slices(texts, 5000))
+    gram, n = ctw.gram_counts(texts, own, 5)
+    assert np.array_equal(gram, want)
+    assert np.array_equal(n, np.bincount(at, own[place]).astype(np.int64))
+    assert sum(moved) < 10 * len(code)
