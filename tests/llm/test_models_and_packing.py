@@ -1,12 +1,14 @@
 """Packing, language identification, context trees and piece lattices against brute force."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -280,6 +282,34 @@ def test_digests_are_those_of_the_decoded_text(spark, tricky):
     assert all(r.same_text == (r.text_crc32 == given[r.doc_id]) for r in got if r.doc_id in given)
 
 
+def test_words_are_whole_units():
+    pick = random.Random(11)
+    texts = ["", " ", "  ", " a", "a  ", "a   b c", "▁ a", "a▁ b", "▁▁", "x" * 70 + " b"]
+    texts += ["".join(pick.choice("a1 ▁ ²\n.") for _ in range(pick.randint(0, 12))) for _ in range(2000)]
+    for text in texts:
+        assert pieces.units_of(text) == (pieces._UNIT.findall(pieces.MARK + text.replace(" ", pieces.MARK)) if text else [])
+    for some in (texts, texts[:1], []):
+        spelled = pieces.Spelled(pa.chunked_array([pa.array(some, pa.string())]))
+        units = spelled.units.to_pylist()
+        sizes, letters = np.array([len(u) for u in units], np.int64), np.array([ord(c) for u in units for c in u], np.int32)
+        ends, ids = spelled.ids(np.cumsum(sizes) - sizes, sizes, letters)
+        assert ["".join(map(chr, ids[a:b])) for a, b in zip(ends, ends[1:], strict=False)] == ["".join(pieces.units_of(x)) for x in some]
+        order, part = spelled.by_part(5)
+        assert sorted(units[i] for i in order) == sorted({u for x in some for u in pieces.units_of(x) if len(u) <= pieces.LONG_UNIT})
+        assert all(zlib.crc32(units[i].encode()) % 5 == p for i, p in zip(order, part, strict=True))
+
+
+def test_blocks_ask_in_frames(spark, monkeypatch):
+    """What a block asks moves as a frame a part, not as a row a unit."""
+    seen, ask = [], pieces.blocks.ask
+    monkeypatch.setattr(pieces.blocks, "ask", lambda *given: seen.append(ask(*given)) or seen[-1])
+    words = [f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(4)], "doc_id long, text string")
+    ids = [r.ids for r in pieces.encode(docs, block_bytes=3000).collect()]
+    assert len(ids) == 4 and all(x == ids[0] for x in ids)
+    assert seen[0].count() <= 4 * 48
+
+
 def test_no_piece_crosses_units():
     for name, _, _ in pieces.pieces(None).rows:
         assert pieces._UNIT.findall(name) == [name] or name == "²."
