@@ -280,6 +280,8 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: d
         own, starts = np.unique(part, return_index=True)
         asks = [packed(units[a:b]) for a, b in zip(starts, [*starts[1:], len(units)], strict=True)]
         block = np.full(len(own), frames[BLOCK][0].as_py(), dtype=np.int32)
+        del table, spelled, units
+        pa.default_memory_pool().release_unused()  # idle workers would keep it
         return pa.table({BLOCK: block, PART: own.astype(np.int32), "frame": pa.array(asks, pa.binary())})
 
     def distinct(asks: pa.Table) -> pa.Table:
@@ -313,6 +315,8 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: d
         # From the order of the parts, long units last, to the units' own.
         at = np.argsort(np.concatenate([order, long]))
         ends, ids = spelled.ids((np.cumsum(sizes) - sizes)[at], sizes[at], flat)
+        del spelled, flat
+        pa.default_memory_pool().release_unused()
         return pa.table({c: texts[c] for c in carried} | {"ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))})
 
     types = dict(whole.dtypes)
