@@ -177,3 +177,33 @@ def test_smote_fills_up_the_minority_on_segments(spark):
 def test_smote_with_two_minority_rows(spark):
     df = spark.createDataFrame([(i, int(i > 7), [float(i)]) for i in range(10)], "id long, class int, features array<double>")
     assert smote.smote_rows(df, key="id").count() == 6
+
+
+def test_flags_make_cells_and_rule_them_out(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    n = 1200
+    flags = np.stack([rng.random(n) < 0.5, rng.random(n) < 0.3, rng.random(n) < 0.02], axis=1).astype(float)
+    x = np.concatenate([np.round(rng.normal(size=(n, 2)) * 0.3, 2), flags, np.ones((n, 1))], axis=1)
+    points = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "rep long, v array<double>").repartition(4)
+    cells = smote.pivot_cells(points, 600)
+    # The two flags that tell most rows apart; the third one would leave too few rows a pattern, a constant is none.
+    monkeypatch.setattr(smote, "FLAGGED_ROWS", 250)
+    assert smote.pivot_cells(points, 1200).select("cell").distinct().count() == 4
+    assert all(r["low"][2:4] == r["high"][2:4] for r in cells.withColumn("far", F.lit(0.0)).groupBy("cell").applyInPandas(
+        smote._cell_stats, smote.CELL_STATS).collect())
+    measured = 0
+    plain = np.column_stack
+
+    def counted(columns):
+        nonlocal measured
+        measured += len(columns[0])
+        return plain(columns)
+
+    table = pd.DataFrame([(r["rep"], np.array(r["v"]), r["cell"], np.inf) for r in cells.collect()], columns=["rep", "v", "cell", "far"])
+    monkeypatch.setattr(smote.np, "column_stack", counted)
+    near = smote._search_all(table, table, 4, True)
+    want = brute_neighbors({i: v for i, v in enumerate(x)}, 4)
+    got = {i: [(int(o), d) for o, d in zip(g["other"], g["distance"], strict=True)] for i, g in near.groupby("rep")}
+    assert all(g[0][1] == 0 and [d for _, d in g[1:]] == pytest.approx([d for _, d in want[i][:3]]) for i, g in got.items()) and len(got) == n
+    # Cells whose flags differ lie farther apart than the neighbors of nearly all rows, so they are not measured for these.
+    assert measured < 4 * n
