@@ -300,3 +300,34 @@ def test_leaves_add_their_shapley_values_piece_by_piece():
     # Several pieces of leaves for so few rows; a piece fits the cache.
     at._add_leaves(phi, x, (values, features, lows, highs, shares))
     assert np.abs(phi - want).max() < 1e-9
+
+
+def test_rows_look_up_what_leaves_add():
+    rng = np.random.default_rng(8)
+    width = 9
+    x = np.round(rng.normal(size=(700, width)), 1)
+    x[0, 0], x[1, 1], x[2, 2] = np.nan, -np.inf, np.inf
+    tables = {}
+    for m in (1, 2, 5, 9):
+        # Neighboring leaves share the first places of their paths.
+        features = np.tile(rng.permutation(width)[:m], (40, 1))
+        features[20:] = rng.permutation(width)[:m]
+        lows = np.where(rng.random((40, m)) < 0.5, -np.inf, np.round(rng.normal(size=(40, m)) - 1, 1))
+        highs = np.where(rng.random((40, m)) < 0.5, np.inf, np.round(rng.normal(size=(40, m)) + 1, 1))
+        lows[1:10, :m // 2], highs[1:10, :m // 2] = lows[0, :m // 2], highs[0, :m // 2]
+        tables[m] = (rng.normal(size=40), features, lows, highs, rng.uniform(0.1, 0.9, size=(40, m)))
+    codes, coded = at._codes(x, tables)
+    for m, table in tables.items():
+        want, got = np.zeros((len(x), width)), np.zeros((width, len(x)))
+        at._add_leaves(want, x, table)
+        at._add_answers(got, codes, coded[m])
+        assert np.abs(want - got.T).max() < 1e-12
+        # A leaf answers each set of places once, however many rows there are.
+        assert at._leaf_answers(table, slice(0, 3)).shape == (3, m, 1 << m)
+
+
+def test_rows_gather_before_they_are_explained():
+    import pandas as pd
+    batches = [pd.DataFrame({"id": range(n)}) for n in (3, 0, 4, 5, 1)]
+    assert [len(b) for b in at._larger(iter(batches), 6)] == [7, 6]
+    assert [len(b) for b in at._larger(iter(batches[:1]), 6)] == [3] and not [*at._larger(iter([]), 6)]
